@@ -1,8 +1,8 @@
 """Registered queries over the given tables, each with its SQL counterpart."""
 
-from . import analytics
+from . import analytics, cleaning, files, quality
 from .registry import REGISTRY
 
-flagship = analytics.a02
+flagship = cleaning.flagship
 
-__all__ = ["REGISTRY", "flagship"]
+__all__ = ["REGISTRY", "analytics", "cleaning", "files", "flagship", "quality"]
