@@ -26,10 +26,9 @@ def upsert_by_key(
         raise ValueError("an upsert needs at least one key column")
     require_columns(target, [*keys, *source.columns])
     require_columns(source, [*keys, *target.columns])
-    # The keys alone decide what is replaced, so the anti join needs no rows of
-    # the source and no duplicates removed from it.
-    key_columns = [named(k) for k in keys]
-    kept = target.join(source.select(*key_columns), list(keys), "left_anti")
+    # Distinct keys: map tasks shrink a hot source key before it is shuffled.
+    replaced = source.select(*[named(k) for k in keys]).distinct()
+    kept = target.join(replaced, list(keys), "left_anti")
     ordered = kept.select(*[named(c) for c in target.columns])
     return ordered.unionByName(unique_by_key(source, keys))
 

@@ -14,13 +14,16 @@ import re
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
+from itertools import islice
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-CELL_SCHEMA = "path string, sheet string, row_no bigint, cells array<string>"
+CELL_SCHEMA = (
+    "path string, sheet string, row_no bigint, cells array<string>, kinds array<string>"
+)
 BATCH_ROWS = 10_000
 
 # Fixed values of the workbook format: namespaces, built-in date formats, epoch.
@@ -29,8 +32,8 @@ RELATION = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships
 DATE_FORMATS = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 46, 47}
 EPOCH = datetime(1899, 12, 30)
 
-# Types tried for a column of text, in this order; text if none fits.
-INFERRED_TYPES = ("bigint", "double", "date", "timestamp", "boolean")
+# Kinds of cells, as the workbook stores them.
+TEXT, NUMBER, BOOLEAN, DAY, MOMENT = "text", "number", "boolean", "day", "moment"
 
 
 def read_workbook_cells(
@@ -38,7 +41,8 @@ def read_workbook_cells(
 ) -> DataFrame:
     """Every row of every sheet (or of one) of the workbooks at ``uri``.
 
-    Columns: path, sheet, row number as in the workbook, cells as text.
+    Columns: path, sheet, row number as in the workbook, cells as text, and what
+    each cell was stored as. Blank cells are null in both arrays.
     """
     files = (
         spark.read.format("binaryFile")
@@ -59,8 +63,9 @@ def read_workbook_cells(
 def workbook_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     """One table per sheet of one workbook.
 
-    The first row names the columns; types are inferred in one pass over the
-    cells, of which the driver sees one row per column.
+    The first row names the columns. A column of numbers, booleans or dates gets
+    such a type, every other is text; this takes one pass over the cells, of which
+    the driver sees one row per column.
     """
     cells = read_workbook_cells(spark, path)
     tables = {}
@@ -77,14 +82,24 @@ def workbook_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
 
 def _sheet_columns(cells: DataFrame) -> dict[str, list[tuple[int, str, str]]]:
     """(position, name, type) of each column of each sheet."""
-    entries = cells.select("sheet", "row_no", F.posexplode("cells").alias("pos", "cell"))
-    body = F.col("row_no") > 1
+    zipped = F.posexplode(F.arrays_zip("cells", "kinds")).alias("pos", "entry")
+    entries = cells.select("sheet", "row_no", zipped).select(
+        "sheet", "pos", "row_no", "entry.cells", "entry.kinds"
+    )
+    header, body = F.col("row_no") == 1, F.col("row_no") > 1
+
+    def every(condition: Column) -> Column:
+        return F.bool_and(F.when(body & F.col("kinds").isNotNull(), condition))
+
     profile = (
         entries.groupBy("sheet", "pos")
         .agg(
-            F.max(F.when(F.col("row_no") == 1, F.col("cell"))).alias("header"),
-            F.count(F.when(body, F.col("cell"))).alias("filled"),
-            *[F.bool_and(F.when(body, _fits(t))).alias(t) for t in INFERRED_TYPES],
+            F.max(F.when(header, F.col("cells"))).alias("header"),
+            every(F.col("cells").try_cast("bigint").isNotNull()).alias("whole"),
+            every(F.col("kinds") == NUMBER).alias(NUMBER),
+            every(F.col("kinds") == BOOLEAN).alias(BOOLEAN),
+            every(F.col("kinds") == DAY).alias(DAY),
+            every(F.col("kinds").isin(DAY, MOMENT)).alias(MOMENT),
         )
         .orderBy("sheet", "pos")
         .collect()
@@ -96,14 +111,18 @@ def _sheet_columns(cells: DataFrame) -> dict[str, list[tuple[int, str, str]]]:
         name = row["header"] or f"_c{row['pos']}"
         if name in used:
             name = f"{name}{row['pos']}"
-        fitting = [t for t in INFERRED_TYPES if row["filled"] and row[t]]
-        columns.append((row["pos"], name, fitting[0] if fitting else "string"))
+        columns.append((row["pos"], name, _column_type(row)))
     return sheets
 
 
-def _fits(dtype: str) -> Column:
-    """Whether a cell reads as the type; blank cells fit every type."""
-    return F.when(F.col("cell").isNotNull(), F.col("cell").try_cast(dtype).isNotNull())
+def _column_type(row: Row) -> str:
+    if row[NUMBER]:
+        return "bigint" if row["whole"] else "double"
+    if row[BOOLEAN]:
+        return "boolean"
+    if row[MOMENT]:
+        return "date" if row[DAY] else "timestamp"
+    return "string"
 
 
 def _batches(path: str, content: bytes, sheet: str | None) -> Iterator[pd.DataFrame]:
@@ -113,21 +132,10 @@ def _batches(path: str, content: bytes, sheet: str | None) -> Iterator[pd.DataFr
         for name, part in _sheet_parts(book):
             if sheet is not None and name != sheet:
                 continue
-            numbers, cells = [], []
-            for number, values in _rows(book, part, strings, date_styles):
-                numbers.append(number)
-                cells.append(values)
-                if len(cells) == BATCH_ROWS:
-                    yield _frame(path, name, numbers, cells)
-                    numbers, cells = [], []
-            if cells:
-                yield _frame(path, name, numbers, cells)
-
-
-def _frame(path: str, sheet: str, numbers: list, cells: list) -> pd.DataFrame:
-    return pd.DataFrame(
-        {"path": path, "sheet": sheet, "row_no": numbers, "cells": cells}
-    )
+            rows = _rows(book, part, strings, date_styles)
+            while batch := list(islice(rows, BATCH_ROWS)):
+                frame = pd.DataFrame(batch, columns=["row_no", "cells", "kinds"])
+                yield frame.assign(path=path, sheet=name)
 
 
 def _parse(book: zipfile.ZipFile, part: str) -> ElementTree.Element | None:
@@ -174,19 +182,20 @@ def _date_styles(book: zipfile.ZipFile) -> set[int]:
 
 def _rows(
     book: zipfile.ZipFile, part: str, strings: list[str], date_styles: set[int]
-) -> Iterator[tuple[int, list[str | None]]]:
+) -> Iterator[tuple[int, list[str | None], list[str | None]]]:
     number = 0
     with book.open(part) as stream:
         for _, element in ElementTree.iterparse(stream):
             if element.tag != MAIN + "row":
                 continue
             number = int(element.get("r", number + 1))
-            values: list[str | None] = []
+            cells: list[tuple[str | None, str | None]] = []
             for cell in element.iter(MAIN + "c"):
-                position = _position(cell.get("r"), len(values))
-                values.extend([None] * (position - len(values)))
-                values.append(_text(cell, strings, date_styles))
-            yield number, values
+                position = _position(cell.get("r"), len(cells))
+                cells.extend([(None, None)] * (position - len(cells)))
+                text, kind = _content(cell, strings, date_styles)
+                cells.append((text, kind) if text else (None, None))
+            yield number, [t for t, _ in cells], [k for _, k in cells]
             element.clear()
 
 
@@ -200,21 +209,25 @@ def _position(reference: str | None, following: int) -> int:
     return position - 1
 
 
-def _text(
+def _content(
     cell: ElementTree.Element, strings: list[str], date_styles: set[int]
-) -> str | None:
-    kind = cell.get("t", "n")
-    if kind == "inlineStr":
-        return "".join(t.text or "" for t in cell.iter(MAIN + "t")) or None
+) -> tuple[str | None, str]:
+    """Text and kind of a cell; errors and blanks have no text."""
+    stored_as = cell.get("t", "n")
+    if stored_as == "inlineStr":
+        return "".join(t.text or "" for t in cell.iter(MAIN + "t")), TEXT
     value = cell.findtext(MAIN + "v")
-    if value is None or value == "" or kind == "e":
-        return None
-    if kind == "s":
-        return strings[int(value)] or None
-    if kind == "b":
-        return "true" if value == "1" else "false"
-    if kind == "n" and int(cell.get("s", 0)) in date_styles:
-        moment = EPOCH + timedelta(seconds=round(float(value) * 86_400))
-        whole_day = float(value).is_integer()
-        return moment.date().isoformat() if whole_day else moment.isoformat(sep=" ")
-    return value
+    if not value or stored_as == "e":
+        return None, TEXT
+    if stored_as == "s":
+        return strings[int(value)], TEXT
+    if stored_as == "b":
+        return ("true" if value == "1" else "false"), BOOLEAN
+    if stored_as != "n":
+        return value, TEXT
+    if int(cell.get("s", 0)) not in date_styles:
+        return value, NUMBER
+    moment = EPOCH + timedelta(seconds=round(float(value) * 86_400))
+    if float(value).is_integer():
+        return moment.date().isoformat(), DAY
+    return moment.isoformat(sep=" "), MOMENT

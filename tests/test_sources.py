@@ -1,0 +1,184 @@
+import json
+from datetime import date, datetime
+
+import pytest
+
+from shopgrain.sources import (
+    flatten_arrays,
+    list_files,
+    load_dataset,
+    load_file,
+    read_workbook_cells,
+    table_name,
+    workbook_tables,
+)
+from shopgrain.sources.files import read_csv
+from tests.workbooks import write_workbook
+
+SHEETS = {
+    "customer": [
+        ["id", "name", "since", "seen", "vip", "score", None, "name", "code"],
+        [1, "Ada & Co", (45000, 1), (45000.5, 2), True, (1.5, 3), "x", "'inline", "007"],
+        [2, None, None, None, False, 2, None, "=formula", "12d"],
+        [],
+        [3, "Bob", (45001, 1), None, None, "#DIV/0!", None, None],
+    ],
+    "orders": [["order_id"], [10], [11.5], [12]],
+    "blank": [["only", "header"]],
+}
+
+
+@pytest.fixture
+def folder(tmp_path, spark):
+    (tmp_path / "shop.csv").write_text("id,name\n1,Ada\n2,\n")
+    (tmp_path / "empty.csv").write_text("")
+    (tmp_path / "header.csv").write_text("id,name\n")
+    (tmp_path / "notes.txt").write_text("ignored")
+    (tmp_path / "broken.json").write_text("{ not json")
+    nested = [
+        {"id": 1, "lines": [{"sku": "a", "n": 1}, {"sku": "b", "n": 2}], "tags": ["x"]},
+        {"id": 2, "lines": [], "tags": None},
+        {"id": 3, "lines": None, "tags": ["y", "z"]},
+    ]
+    (tmp_path / "nested.json").write_text(json.dumps(nested, indent=1))
+    (tmp_path / "data.v1.json").write_text(json.dumps({"customer": [{"id": 7}]}))
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "plain.json").write_text(json.dumps({"a": 1, "b": "x"}))
+    spark.range(5).write.parquet(str(tmp_path / "numbers.parquet"))
+    (tmp_path / "bad.parquet").write_text("not parquet")
+    write_workbook(tmp_path / "book.xlsx", SHEETS)
+    return tmp_path
+
+
+def test_load_dataset(spark, folder, values):
+    loaded = load_dataset(spark, f"file://{folder}")
+    assert sorted(loaded.tables) == [
+        "df_book_customer",
+        "df_book_orders",
+        "df_data_customer",
+        "df_nested",
+        "df_nested_lines",
+        "df_nested_tags",
+        "df_numbers",
+        "df_plain",
+        "df_shop",
+    ]
+    tables = loaded.tables
+    assert values(tables["df_shop"]) == [(1, "Ada"), (2, None)]
+    assert values(tables["df_numbers"].orderBy("id")) == [0, 1, 2, 3, 4]
+    assert sorted(values(tables["df_nested_lines"], "sku", "n")) == [("a", 1), ("b", 2)]
+    assert sorted(values(tables["df_nested_tags"])) == ["x", "y", "z"]
+    assert tables["df_nested"].count() == 3
+    assert values(tables["df_data_customer"]) == [7]
+    failed = [p.rsplit("/", 1)[-1] for p in values(loaded.load_errors, "path")]
+    assert sorted(failed) == ["bad.parquet", "broken.json"]
+
+
+def test_files_are_listed_without_their_contents(spark, folder):
+    files = list_files(spark, str(folder))
+    assert files.columns == ["path", "length", "modificationTime"]
+    names = {r.path.rsplit("/", 1)[-1] for r in files.collect()}
+    assert {"shop.csv", "notes.txt", "plain.json", "book.xlsx"} <= names
+
+
+def test_one_file(spark, folder):
+    assert list(load_file(spark, str(folder / "shop.csv"))) == ["df_shop"]
+    with pytest.raises(ValueError, match="is not one of"):
+        load_file(spark, str(folder / "notes.txt"))
+
+
+def test_empty_folder_and_equal_names_raise(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        load_dataset(spark, str(tmp_path))
+    (tmp_path / "a.csv").write_text("x\n1\n")
+    (tmp_path / "a.json").write_text('{"x": 1}')
+    with pytest.raises(ValueError, match="already in use"):
+        load_dataset(spark, str(tmp_path))
+
+
+def test_table_directories_below_a_folder_with_an_extension(spark, tmp_path, values):
+    root = tmp_path / "export.parquet"
+    for name in ("one", "two"):
+        spark.range(3).repartition(3).write.parquet(str(root / f"{name}.parquet"))
+    loaded = load_dataset(spark, str(root))
+    assert sorted(loaded.tables) == ["df_one", "df_two"]
+    assert loaded.tables["df_one"].count() == 3
+
+
+def test_schema_spares_inference(spark, folder):
+    schema = "id bigint, name string"
+    loaded = load_dataset(spark, str(folder), schemas={"df_shop": schema}).tables
+    assert loaded["df_shop"].dtypes == [("id", "bigint"), ("name", "string")]
+    assert read_csv(spark, str(folder / "shop.csv")).dtypes[0] == ("id", "int")
+
+
+def test_table_names():
+    assert table_name("s3a://b/in/data.2023.csv") == "df_data"
+    assert table_name("/in/data.xlsx", "orders") == "df_data_orders"
+    assert table_name("/in/orders.parquet/") == "df_orders"
+
+
+def test_flatten_arrays_rejects_other_fields(spark):
+    df = spark.sql("SELECT 1 AS a, array(1, 2) AS `b.c`")
+    assert flatten_arrays(df, "b.c").count() == 2
+    with pytest.raises(ValueError, match="not an array"):
+        flatten_arrays(df, "a")
+
+
+def test_workbook_cells(spark, folder):
+    cells = read_workbook_cells(spark, str(folder))
+    assert cells.columns == ["path", "sheet", "row_no", "cells", "kinds"]
+    rows = {(r.sheet, r.row_no): r.cells for r in cells.collect()}
+    assert rows[("customer", 2)] == [
+        "1",
+        "Ada & Co",
+        "2023-03-15",
+        "2023-03-15 12:00:00",
+        "true",
+        "1.5",
+        "x",
+        "inline",
+        "007",
+    ]
+    assert rows[("customer", 3)][7] == "formula"
+    assert rows[("customer", 5)][:2] == ["3", "Bob"]
+    assert ("blank", 1) in rows
+
+
+def test_workbook_tables(spark, folder, values):
+    tables = workbook_tables(spark, str(folder / "book.xlsx"))
+    customer = tables["customer"]
+    assert customer.dtypes == [
+        ("id", "bigint"),
+        ("name", "string"),
+        ("since", "date"),
+        ("seen", "timestamp"),
+        ("vip", "boolean"),
+        ("score", "double"),
+        ("_c6", "string"),
+        ("name7", "string"),
+        ("code", "string"),
+    ]
+    rows = sorted(values(customer))
+    assert rows[0] == (
+        1,
+        "Ada & Co",
+        date(2023, 3, 15),
+        datetime(2023, 3, 15, 12),
+        True,
+        1.5,
+        "x",
+        "inline",
+        "007",
+    )
+    assert len(rows) == 3
+    assert values(tables["orders"]) == [10.0, 11.5, 12.0]
+    assert tables["blank"].count() == 0
+
+
+def test_many_workbooks_in_one_scan(spark, tmp_path):
+    for i in range(6):
+        rows = [["n"], *[[i * 100 + r] for r in range(100)]]
+        write_workbook(tmp_path / f"b{i}.xlsx", {"s": rows})
+    cells = read_workbook_cells(spark, str(tmp_path), "s").where("row_no > 1")
+    assert cells.selectExpr("sum(CAST(cells[0] AS INT))").first()[0] == sum(range(600))
