@@ -25,9 +25,19 @@ INVALID_DATE = "Invalid Date"
 INVALID_PHONE = "Invalid phone number"
 
 
+def quoted(name: str) -> str:
+    """The column name for use in SQL text, dots and spaces included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str) -> str:
+    """The text as a literal for use in SQL text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def named(name: str) -> Column:
-    """The column called exactly ``name``, dots and spaces included."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """The column called exactly ``name``."""
+    return F.col(quoted(name))
 
 
 def type_of(df: DataFrame, name: str) -> T.DataType:
@@ -70,16 +80,17 @@ def numeric(df: DataFrame, name: str) -> Column:
     return c.try_cast("double") if is_text(type_of(df, name)) else c
 
 
-def text_is_any(df: DataFrame, name: str, texts: Sequence[str]) -> Column:
-    """True where a text column holds one of ``texts``; never null."""
+def missing_test(df: DataFrame, name: str, texts: Sequence[str] = ()) -> str:
+    """SQL condition: null, or in a text column one of ``texts``."""
+    c = quoted(name)
     if not texts or not is_text(type_of(df, name)):
-        return F.lit(False)
-    return F.coalesce(named(name).isin(*texts), F.lit(False))
+        return f"{c} IS NULL"
+    return f"({c} IS NULL OR {c} IN ({', '.join(map(literal, texts))}))"
 
 
 def is_missing(df: DataFrame, name: str, texts: Sequence[str] = ()) -> Column:
     """True for null or a null-like text; never null."""
-    return named(name).isNull() | text_is_any(df, name, texts)
+    return F.expr(missing_test(df, name, texts))
 
 
 def is_null_or_nan(df: DataFrame, name: str) -> Column:
@@ -88,6 +99,13 @@ def is_null_or_nan(df: DataFrame, name: str) -> Column:
     return c.isNull() | F.isnan(c) if is_floating(type_of(df, name)) else c.isNull()
 
 
-def blank_to_null(df: DataFrame, name: str, texts: Sequence[str]) -> Column:
-    """The column with null-like texts turned into null."""
-    return F.when(~text_is_any(df, name, texts), named(name))
+def blank_to_null(
+    df: DataFrame, names: Sequence[str], texts: Sequence[str]
+) -> DataFrame:
+    """Turn null-like texts of the text columns among ``names`` into null."""
+    recoded = {}
+    for name in names:
+        if is_text(type_of(df, name)):
+            test, c = missing_test(df, name, texts), quoted(name)
+            recoded[name] = F.expr(f"CASE WHEN NOT {test} THEN {c} END")
+    return df.withColumns(recoded) if recoded else df

@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 
 from .columns import INVALID_PHONE, NOT_AVAILABLE
 
-# What counts as an e-mail address and as a dialled number.
+# What counts as an e-mail address and as a dialled number. Digits
+# are those of any script.
 EMAIL_PATTERN = r"^[^@]+@[^@]+\.[^@]+$"
 NOT_DIALLED = r"[^\p{Nd}Xx]"
-DIALLED = r"^(\p{Nd}+)(?:[Xx](\p{Nd}+))?$"
+TEN_DIGITS = r"1?(\p{Nd}{3})(\p{Nd}{3})(\p{Nd}{4})"
+TWELVE_DIGITS = r"001(\p{Nd}{3})(\p{Nd}{3})(\p{Nd}{3})"
+TWELVE_OR_THIRTEEN_DIGITS = r"001(\p{Nd}{3})(\p{Nd}{3})(\p{Nd}{3,4})"
+EXTENSION = r"(x\p{Nd}+)?"
+WRITTEN = "+1 ($1$4) $2$5-$3$6$7"
 
 
 def valid_email(email: Column, invalid_message: str) -> Column:
@@ -25,28 +30,25 @@ def clean_phone(phone: Column, accept_001_13: bool = False) -> Column:
     start with 001 (a nine-digit rest: an old rule kept for equal results).
     ``accept_001_13=True`` also takes 001 and a full ten-digit number.
     """
-    dialled = F.regexp_replace(phone, NOT_DIALLED, "")
-    digits = F.regexp_extract(dialled, DIALLED, 1)
-    extension = F.regexp_extract(dialled, DIALLED, 2)
-    length = F.length(digits)
+    return accepted_phone(phone, written_phone(phone, accept_001_13))
 
-    country_code = F.when(length == 10, 0).when(
-        (length == 11) & digits.startswith("1"), 1
-    )
-    prefixed_lengths = (12, 13) if accept_001_13 else (12,)
-    country_code = country_code.when(
-        length.isin(*prefixed_lengths) & digits.startswith("001"), 3
-    )
-    local = F.substr(digits, country_code + 1)
-    written = F.concat(
-        F.lit("+1 ("),
-        F.substr(local, F.lit(1), F.lit(3)),
-        F.lit(") "),
-        F.substr(local, F.lit(4), F.lit(3)),
-        F.lit("-"),
-        F.substr(local, F.lit(7)),
-        F.when(extension != "", F.concat(F.lit("x"), extension)).otherwise(""),
-    )
-    return F.when(phone == NOT_AVAILABLE, phone).otherwise(
-        F.coalesce(written, F.lit(INVALID_PHONE))
+
+def written_phone(phone: Column, accept_001_13: bool = False) -> Column:
+    """A dialled number as it is to be written; anything else without a plus sign.
+
+    Two passes over the text: one drops what cannot be dialled, one groups the
+    digits.
+    """
+    dialled = F.lower(F.regexp_replace(phone, NOT_DIALLED, ""))
+    prefixed = TWELVE_OR_THIRTEEN_DIGITS if accept_001_13 else TWELVE_DIGITS
+    number = f"^(?:{TEN_DIGITS}|{prefixed}){EXTENSION}$"
+    return F.regexp_replace(dialled, number, WRITTEN)
+
+
+def accepted_phone(phone: Column, written: Column) -> Column:
+    """The written number, ``Not Available`` as it is, or the invalid mark."""
+    return (
+        F.when(phone == NOT_AVAILABLE, phone)
+        .when(written.startswith("+"), written)
+        .otherwise(INVALID_PHONE)
     )

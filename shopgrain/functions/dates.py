@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from datetime import date
 
@@ -24,8 +25,39 @@ DATE_PATTERNS = (
 
 
 def parse_date(text: Column, patterns: Sequence[str] = DATE_PATTERNS) -> Column:
-    """The date that ``text`` spells in the first matching pattern, else null."""
-    return F.coalesce(*[F.try_to_date(text, p) for p in patterns])
+    """The date that ``text`` spells in the first matching pattern, else null.
+
+    A failed attempt costs far more than a look at a few characters, so a pattern
+    is tried only on texts of its shape.
+    """
+    return F.coalesce(
+        *[F.when(_has_shape(text, p), F.try_to_date(text, p)) for p in patterns]
+    )
+
+
+def _has_shape(text: Column, pattern: str) -> Column:
+    """What every text of the pattern satisfies, as far as positions are fixed.
+
+    Two-digit fields have two characters, month names start with no digit, and a
+    year has digits from its second character on (the first may be a sign).
+    """
+    position, shape = 1, F.lit(True)
+
+    def character(at: int) -> Column:
+        return F.substr(text, F.lit(at), F.lit(1))
+
+    for field, separator in re.findall("([A-Za-z]+)([^A-Za-z]*)", pattern):
+        if field in ("MMM", "MMMM"):
+            return shape & ~character(position).between("0", "9")
+        if field == "yyyy":
+            return shape & character(position + 2).between("0", "9")
+        if field not in ("dd", "MM"):
+            return shape
+        position += len(field)
+        for expected in separator:
+            shape = shape & (character(position) == expected)
+            position += 1
+    return shape
 
 
 def as_date(df: DataFrame, name: str) -> Column:

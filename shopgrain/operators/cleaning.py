@@ -23,15 +23,15 @@ from ..functions.columns import (
     blank_to_null,
     existing_columns,
     is_floating,
-    is_missing,
     is_null_or_nan,
     is_text,
+    missing_test,
     named,
     numeric,
     require_columns,
     type_of,
 )
-from ..functions.contact import clean_phone, valid_email
+from ..functions.contact import accepted_phone, valid_email, written_phone
 from ..functions.dates import parse_date
 from .quantiles import exact_median
 
@@ -95,7 +95,7 @@ def impute_nulls(
             f"method must be 'constant' or one of {COMPUTED_FILLS}, not {method!r}"
         )
     require_columns(df, columns)
-    recoded = df.withColumns({c: blank_to_null(df, c, NULL_TEXT) for c in columns})
+    recoded = blank_to_null(df, columns, NULL_TEXT)
     return _fill(recoded, columns, method, value, exact, accuracy)
 
 
@@ -204,13 +204,7 @@ def split_nulls(
     """
     checked = list(columns) if columns else df.columns
     require_columns(df, checked)
-    recoded = df.withColumns(
-        {
-            f.name: blank_to_null(df, f.name, BLANK_TEXTS)
-            for f in df.schema
-            if is_text(f.dataType)
-        }
-    )
+    recoded = blank_to_null(df, df.columns, BLANK_TEXTS)
     incomplete = reduce(or_, [is_null_or_nan(recoded, c) for c in checked])
     return recoded.where(~incomplete), recoded.where(incomplete)
 
@@ -257,8 +251,11 @@ def clean_phone_numbers(
 ) -> DataFrame:
     """Normalise a phone column; see ``functions.clean_phone``."""
     require_columns(df, [column])
-    text = named(column).cast("string")
-    return df.withColumn(column, clean_phone(text, accept_001_13))
+    phone = named(column).cast("string")
+    # A column of its own, so that Spark computes the written form once.
+    staged = df.withColumn("_written", written_phone(phone, accept_001_13))
+    accepted = accepted_phone(phone, F.col("_written"))
+    return staged.withColumn(column, accepted).drop("_written")
 
 
 def validate_emails(df: DataFrame, column: str, invalid_message: str) -> DataFrame:
@@ -342,9 +339,10 @@ def convert_column_type(
 
 def total_null_count(df: DataFrame) -> DataFrame:
     """Nulls and ``null`` texts over all columns, as one row, in one pass."""
-    per_row = [is_missing(df, c, NULL_TEXT).cast("bigint") for c in df.columns]
-    total = reduce(lambda a, b: a + b, per_row, F.lit(0).cast("bigint"))
-    return df.agg(F.coalesce(F.sum(total), F.lit(0)).alias("total_null_count"))
+    per_column = [
+        f"count_if({missing_test(df, c, NULL_TEXT)})" for c in df.columns
+    ]
+    return df.agg(F.expr(" + ".join(per_column)).alias("total_null_count"))
 
 
 def calculate_total_null_count(df: DataFrame) -> int:

@@ -8,11 +8,11 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import NULL_TEXT, is_missing, named, type_of
+from ..functions.columns import NULL_TEXT, literal, missing_test, named, quoted
 
 # Type names whose negatives the older rule counts. It spells the
 # 64-bit integer "long", which no Spark column is called, so bigint never counts.
@@ -35,39 +35,37 @@ def profile_table(
     already merge a hot row), and the column counts are taken over the distinct
     rows, weighted by how often each occurs.
     """
-    weight = F.col("_copies")
-    distinct = df.groupBy(*[named(c) for c in df.columns]).agg(
+    totals = ["coalesce(sum(_copies), 0L) AS rows", "count(*) AS distinct_rows"]
+    entries = []
+    for i, field in enumerate(df.schema):
+        missing = missing_test(df, field.name, NULL_TEXT)
+        totals.append(f"{_weighted(missing)} AS nulls_{i}")
+        if _counts_negatives(field.dataType, reference_types):
+            negative = _weighted(f"{quoted(field.name)} < 0")
+        else:
+            negative = "0L"
+        totals.append(f"{negative} AS negatives_{i}")
+        entries.append(
+            f"""named_struct('table_name', {literal(table_name)},
+            'column_name', {literal(field.name)}, 'null_count', nulls_{i},
+            'negative_count', negatives_{i},
+            'data_type', {literal(field.dataType.simpleString())}, 'row_count', rows,
+            'column_count', {len(df.columns)},
+            'duplicate_count', rows - distinct_rows)"""
+        )
+    counted = _counted_rows(df).agg(*[F.expr(t) for t in totals])
+    return counted.selectExpr(f"inline(array({', '.join(entries)}))")
+
+
+def _counted_rows(df: DataFrame) -> DataFrame:
+    """Distinct rows and how often each occurs."""
+    return df.groupBy(*[named(c) for c in df.columns]).agg(
         F.count(F.lit(1)).alias("_copies")
     )
 
-    def weighted(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, weight)), F.lit(0))
 
-    totals = [
-        F.coalesce(F.sum(weight), F.lit(0)).alias("rows"),
-        F.count(F.lit(1)).alias("distinct_rows"),
-    ]
-    for i, c in enumerate(df.columns):
-        totals.append(weighted(is_missing(df, c, NULL_TEXT)).alias(f"nulls_{i}"))
-        if _counts_negatives(type_of(df, c), reference_types):
-            totals.append(weighted(named(c) < 0).alias(f"negatives_{i}"))
-        else:
-            totals.append(F.lit(0).cast("bigint").alias(f"negatives_{i}"))
-
-    entries = [
-        F.struct(
-            F.lit(table_name).alias("table_name"),
-            F.lit(c).alias("column_name"),
-            F.col(f"nulls_{i}").alias("null_count"),
-            F.col(f"negatives_{i}").alias("negative_count"),
-            F.lit(type_of(df, c).simpleString()).alias("data_type"),
-            F.col("rows").alias("row_count"),
-            F.lit(len(df.columns)).alias("column_count"),
-            (F.col("rows") - F.col("distinct_rows")).alias("duplicate_count"),
-        )
-        for i, c in enumerate(df.columns)
-    ]
-    return distinct.agg(*totals).select(F.inline(F.array(*entries)))
+def _weighted(condition: str) -> str:
+    return f"coalesce(sum(CASE WHEN {condition} THEN _copies END), 0L)"
 
 
 def profile_tables(
@@ -88,12 +86,8 @@ def _counts_negatives(dtype: T.DataType, reference_types: bool) -> bool:
 
 def duplicate_count(df: DataFrame) -> DataFrame:
     """Rows that repeat an earlier row, as one row."""
-    distinct = df.groupBy(*[named(c) for c in df.columns]).agg(
-        F.count(F.lit(1)).alias("_copies")
-    )
-    return distinct.agg(
-        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicate_count")
-    )
+    repeats = F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0))
+    return _counted_rows(df).agg(repeats.alias("duplicate_count"))
 
 
 def profile_changes(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -102,33 +96,25 @@ def profile_changes(before: DataFrame, after: DataFrame) -> DataFrame:
     One row per (table, column, metric) with both values as text; a column that
     one side lacks counts as 0 nulls, 0 negatives and an empty type there.
     """
-    both = _side(before, "before").join(_side(after, "after"), KEYS, "full")
-    metrics = F.inline(
-        F.array(
-            _metric(NULL_METRIC, "null_count", "0"),
-            _metric(NEGATIVE_METRIC, "negative_count", "0"),
-            _metric(TYPE_METRIC, "data_type", ""),
-        )
-    )
-    return both.select(*KEYS, metrics).where(F.col("before") != F.col("after"))
-
-
-def _side(profile: DataFrame, side: str) -> DataFrame:
-    values = F.struct(
-        *[
-            F.col(c).cast("string").alias(c)
-            for c in ("null_count", "negative_count", "data_type")
-        ]
-    )
-    return profile.select(*KEYS, values.alias(f"{side}_values"))
-
-
-def _metric(name: str, field: str, absent: str) -> Column:
-    def value(side: str) -> Column:
-        found = F.col(f"{side}_values").getField(field)
-        return F.coalesce(found, F.lit(absent)).alias(side)
-
-    return F.struct(F.lit(name).alias("metric"), value("before"), value("after"))
+    fields = ("null_count", "negative_count", "data_type")
+
+    def side(profile: DataFrame, name: str) -> DataFrame:
+        texts = [f"CAST({f} AS STRING) AS {name}_{f}" for f in fields]
+        return profile.selectExpr(*KEYS, *texts)
+
+    def metric(name: str, field: str, absent: str) -> str:
+        return f"""named_struct('metric', '{name}',
+            'before', coalesce(before_{field}, '{absent}'),
+            'after', coalesce(after_{field}, '{absent}'))"""
+
+    both = side(before, "before").join(side(after, "after"), KEYS, "full")
+    metrics = [
+        metric(NULL_METRIC, "null_count", "0"),
+        metric(NEGATIVE_METRIC, "negative_count", "0"),
+        metric(TYPE_METRIC, "data_type", ""),
+    ]
+    stacked = both.selectExpr(*KEYS, f"inline(array({', '.join(metrics)}))")
+    return stacked.where("before <> after")
 
 
 def profile_summary(before: DataFrame, after: DataFrame) -> DataFrame:

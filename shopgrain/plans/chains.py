@@ -8,7 +8,7 @@ whole chain of a table stays one lazy plan.
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 from typing import Any
@@ -90,17 +90,23 @@ def run_cleaning(
         parts: list[Rejected] = []
         for step, params in _steps(config.get(name), CLEANING_STEPS, on_unknown):
             if step is drop_nulls:
-                parts.append(_rejected(df, params))
+                parts.append(Rejected(*_archived(df, **params)))
             df = apply_step(df, step, params, keep_input_if_empty)
         tables[name] = saved(df, name) if save else df
         rejected[name] = parts
     return CleaningResult(dict(dataset), tables, rejected)
 
 
-def _rejected(df: DataFrame, params: Mapping[str, Any]) -> Rejected:
-    _, rows = split_nulls(df, params.get("columns"))
-    folder, name = params.get("archive_folder"), params.get("archive_df_name")
-    return Rejected(rows, archive_path(folder, name) if folder and name else None)
+def _archived(
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    archive_folder: str | None = None,
+    archive_df_name: str | None = None,
+) -> tuple[DataFrame, str | None]:
+    _, rows = split_nulls(df, columns)
+    if archive_folder and archive_df_name:
+        return rows, archive_path(archive_folder, archive_df_name)
+    return rows, None
 
 
 def run_transforms(

@@ -539,18 +539,26 @@ def repeated_customers(spark: SparkSession, d: str) -> DataFrame:
     return raw.unionByName(raw.withColumn("first_name", F.lit("Zed")))
 
 
+RAW_VIEWS = {
+    "orders": "raw_order",
+    "product": "raw_product",
+    "order_item": "raw_order_item",
+    "review": "raw_review",
+}
+
+
+def raw_table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    if name == "customer":
+        return repeated_customers(spark, d)
+    return view(spark, d, RAW_VIEWS[name])
+
+
 def raw_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    return {
-        "customer": repeated_customers(spark, d),
-        "orders": view(spark, d, "raw_order"),
-        "product": view(spark, d, "raw_product"),
-        "order_item": view(spark, d, "raw_order_item"),
-        "review": view(spark, d, "raw_review"),
-    }
+    return {name: raw_table(spark, d, name) for name in CLEANING}
 
 
 def cleaned(spark: SparkSession, d: str, name: str) -> DataFrame:
-    return run_cleaning({name: raw_tables(spark, d)[name]}, CLEANING).tables[name]
+    return run_cleaning({name: raw_table(spark, d, name)}, CLEANING).tables[name]
 
 
 REPEATED_SQL = f"""(SELECT * FROM raw_customer UNION ALL

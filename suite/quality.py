@@ -12,7 +12,6 @@ from .cleaning import (
     CUSTOMER_SQL,
     REPEATED_SQL,
     columns_of,
-    raw_tables,
     repeated_customers,
 )
 from .registry import query
@@ -125,7 +124,7 @@ PROFILES = f"WITH before_profile AS ({BEFORE_SQL}), after_profile AS ({AFTER_SQL
     WHERE before <> after""",
 )
 def q04(spark, d):
-    customers = {"customer": raw_tables(spark, d)["customer"]}
+    customers = {"customer": repeated_customers(spark, d)}
     return run_cleaning(customers, CLEANING).changes
 
 
@@ -140,7 +139,7 @@ def q04(spark, d):
     a.duplicate_count AS duplicate_count_after FROM b JOIN a USING (table_name)""",
 )
 def q05(spark, d):
-    customers = {"customer": raw_tables(spark, d)["customer"]}
+    customers = {"customer": repeated_customers(spark, d)}
     return run_cleaning(customers, CLEANING).summary
 
 

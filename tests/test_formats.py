@@ -1,12 +1,14 @@
 """Phones, e-mails, dates, ages and states."""
 
 from datetime import date
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
 
 from shopgrain import functions as fn
 from shopgrain import operators as op
+from shopgrain.functions.dates import DATE_PATTERNS
 
 PHONES = {
     "Not Available": "Not Available",
@@ -24,6 +26,10 @@ PHONES = {
     "001-212-555-0123": "Invalid phone number",
     "001-212-555-012": "+1 (212) 555-012",
     "001-212-5555": "+1 (001) 212-5555",
+    "1234567890": "+1 (123) 456-7890",
+    "11234567890": "+1 (123) 456-7890",
+    "٢١٢٥٥٥٠١٢٣": "+1 (٢١٢) ٥٥٥-٠١٢٣",
+    "+12125550123\n": "+1 (212) 555-0123",
 }
 
 
@@ -92,6 +98,68 @@ def test_dates_of_date_columns_and_other_target_format(spark, values):
         op.standardize_date_format(df, "absent", missing="raise")
 
 
+def phone_by_hand(phone):
+    """The phone rules, step by step."""
+    if phone == "Not Available":
+        return phone
+    dialled = "".join(c for c in phone or "" if c.isdecimal() or c in "xX")
+    number, mark, extension = dialled.lower().partition("x")
+    if mark and not extension.isdecimal():
+        return "Invalid phone number"
+    if len(number) == 11 and number[0] == "1":
+        number = number[1:]
+    elif len(number) == 12 and number.startswith("001"):
+        number = number[3:]
+    elif len(number) != 10:
+        return "Invalid phone number"
+    return f"+1 ({number[:3]}) {number[3:6]}-{number[6:]}{mark}{extension}"
+
+
+def test_random_phones_against_the_rules(spark, values):
+    random = Random(7)
+    phones = [
+        random.choice(["", "1", "001", "0"])
+        + "".join(random.choices("0123456789", k=random.choice([8, 9, 10, 11])))
+        + random.choice(["", "x", "x1", "X22", " ext. 7", "x1x2", "abc"])
+        for _ in range(3000)
+    ]
+    df = spark.createDataFrame([(p,) for p in phones], "phone string")
+    expected = [phone_by_hand(p) for p in phones]
+    assert len(set(expected)) > 500
+    cleaned = op.clean_phone_numbers(df, "phone")
+    assert values(cleaned) == expected
+    assert values(df.select(fn.clean_phone(F.col("phone")))) == expected
+
+
+def test_shapes_hide_no_date(spark, values):
+    random = Random(7)
+
+    days = ["05", "12", "31", "5", "٠٥", "005", ""]
+    months = ["05", "02", "13", "Jan", "May", "January", "jan", "Sept", "Sep", "5"]
+    years = ["2023", "2023", "+12023", "-0044", "0099", "99", "12023", ""]
+
+    def pieces():
+        found = [random.choice(days), random.choice(months), random.choice(years)]
+        return found if random.random() < 0.7 else random.sample(found, 3)
+
+    def separators():
+        first = random.choice("./-")
+        return first, first if random.random() < 0.8 else random.choice("./- ")
+
+    texts = []
+    for _ in range(6000):
+        (one, two, three), (first, second) = pieces(), separators()
+        texts.append(random.choice(["", "", "", " "]) + one + first + two + second + three)
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.coalesce(*[F.try_to_date("t", p) for p in DATE_PATTERNS])
+    both = df.select(
+        plain.cast("string").alias("plain"),
+        fn.parse_date(F.col("t")).cast("string").alias("shaped"),
+    )
+    assert both.where("NOT plain <=> shaped").count() == 0
+    assert both.where("plain IS NOT NULL").count() > 100
+
+
 def test_age_bands(spark, values):
     ages = [0, 19, 20, 29, 30, 39, 40, 49, 50, 120, None]
     df = spark.createDataFrame([(a,) for a in ages], "age int")
