@@ -3,7 +3,7 @@
 from .archive import archive_path, write_archive
 from .database import upsert_jdbc, write_stage
 from .dialects import ANSI, DIALECTS, POSTGRES, SNOWFLAKE, Dialect
-from .load import upsert_all
+from .load import jdbc_loader, upsert_all, warehouse_loader
 from .warehouse import Warehouse, create_table
 
 __all__ = [
@@ -15,8 +15,10 @@ __all__ = [
     "Warehouse",
     "archive_path",
     "create_table",
+    "jdbc_loader",
     "upsert_all",
     "upsert_jdbc",
+    "warehouse_loader",
     "write_archive",
     "write_stage",
 ]

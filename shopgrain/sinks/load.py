@@ -7,16 +7,47 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .database import upsert_jdbc
+from .dialects import Dialect
+from .warehouse import Warehouse
+
 log = logging.getLogger(__name__)
 
 STATUS_SCHEMA = "table_name string, action string, error string"
 
+# Loads one table by its keys and says what was done.
+LoadTable = Callable[[DataFrame, str, Sequence[str]], str]
+
+
+def jdbc_loader(
+    url: str, dialect: Dialect, properties: Mapping[str, str], schema: str | None = None
+) -> LoadTable:
+    """Loader for ``upsert_all`` into a database."""
+
+    def load(df: DataFrame, table: str, keys: Sequence[str]) -> str:
+        return upsert_jdbc(df, url, table, keys, dialect, properties, schema)
+
+    return load
+
+
+def warehouse_loader(warehouse: Warehouse) -> LoadTable:
+    """Loader for ``upsert_all``: upsert known tables, create the others."""
+
+    def load(df: DataFrame, table: str, keys: Sequence[str]) -> str:
+        if warehouse.exists(df.sparkSession, table):
+            warehouse.upsert(df, table, keys)
+            return "upserted"
+        warehouse.create(df, table)
+        return "created"
+
+    return load
+
 
 def upsert_all(
     spark: SparkSession,
     dataset: Mapping[str, DataFrame | None],
     keys: Mapping[str, str | Sequence[str]],
-    load: Callable[[DataFrame, str, Sequence[str]], str],
+    load: LoadTable,
 ) -> DataFrame:
     """Give every table with its keys to ``load`` and return one status per table.
 

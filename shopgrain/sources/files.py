@@ -137,14 +137,15 @@ def load_file(
         tables = {name: spark.read.parquet(path)}
     else:
         raise ValueError(f"{path} is not one of {READ_EXTENSIONS}")
-    return {n: df for n, df in tables.items() if not _is_empty(n, df)}
+    filled = {n: df for n, df in tables.items() if not is_empty(df)}
+    for left_out in tables.keys() - filled.keys():
+        log.warning("table %s is empty and is left out", left_out)
+    return filled
 
 
-def _is_empty(name: str, df: DataFrame) -> bool:
-    empty = not df.columns or df.isEmpty()
-    if empty:
-        log.warning("table %s is empty and is left out", name)
-    return empty
+def is_empty(df: DataFrame) -> bool:
+    """Whether a table has no columns or no rows; looks for one row only."""
+    return not df.columns or df.isEmpty()
 
 
 def read_csv(

@@ -12,11 +12,12 @@ from shopgrain.sinks import (
     archive_path,
     create_table,
     database,
+    jdbc_loader,
     upsert_all,
     upsert_jdbc,
+    warehouse_loader,
     write_archive,
 )
-from shopgrain.sinks.warehouse import warehouse_loader
 from shopgrain.sources import jdbc
 
 ALL_TYPES = (
@@ -112,6 +113,15 @@ def test_upsert_jdbc_into_a_known_table(rows, calls, monkeypatch):
     assert [c[0] for c in calls if isinstance(c, list)][0].startswith("MERGE INTO")
 
 
+def test_loader_for_all_tables(spark, rows, calls, monkeypatch, values):
+    runner = lambda *a: lambda s: calls.append(list(s))
+    monkeypatch.setattr(database, "jdbc_runner", runner)
+    load = jdbc_loader("jdbc:x", POSTGRES, {})
+    found = upsert_all(spark, {"shop": rows}, {"shop": "id"}, load)
+    assert values(found) == [("shop", "created", None)]
+    assert [c[0].split()[0] for c in calls if isinstance(c, list)] == ["CREATE", "INSERT"]
+
+
 def test_failed_merge_raises_and_keeps_the_stage(rows, calls, monkeypatch):
     monkeypatch.setattr(database, "table_exists", lambda *a: True)
 
