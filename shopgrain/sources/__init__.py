@@ -9,7 +9,13 @@ from .jdbc import (
     table_exists,
 )
 from .json_arrays import flatten_arrays
-from .workbook import read_workbook_cells, workbook_tables
+from .workbook import (
+    read_workbook_cells,
+    sheet_columns,
+    sheet_table,
+    workbook_cells,
+    workbook_tables,
+)
 
 __all__ = [
     "LoadResult",
@@ -23,7 +29,10 @@ __all__ = [
     "read_query",
     "read_table",
     "read_workbook_cells",
+    "sheet_columns",
+    "sheet_table",
     "table_exists",
     "table_name",
+    "workbook_cells",
     "workbook_tables",
 ]

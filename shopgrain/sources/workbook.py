@@ -11,6 +11,7 @@ from __future__ import annotations
 import io
 import posixpath
 import re
+import sys
 import zipfile
 from collections.abc import Iterator
 from datetime import datetime, timedelta
@@ -18,9 +19,13 @@ from itertools import islice
 from xml.etree import ElementTree
 
 import pandas as pd
+from pyspark.cloudpickle import register_pickle_by_value
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+# Send the functions below to the tasks, so that workers need no copy of them.
+register_pickle_by_value(sys.modules[__name__])
+
 CELL_SCHEMA = (
     "path string, sheet string, row_no bigint, cells array<string>, kinds array<string>"
 )
@@ -49,15 +54,19 @@ def read_workbook_cells(
         .option("pathGlobFilter", "*.xlsx")
         .option("recursiveFileLookup", "true")
         .load(uri)
-        .select("path", "content")
     )
+    return workbook_cells(files, sheet)
+
+
+def workbook_cells(files: DataFrame, sheet: str | None = None) -> DataFrame:
+    """The rows of workbooks given as columns ``path`` and ``content``."""
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"], strict=True):
                 yield from _batches(path, content, sheet)
 
-    return files.mapInPandas(decode, CELL_SCHEMA)
+    return files.select("path", "content").mapInPandas(decode, CELL_SCHEMA)
 
 
 def workbook_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
@@ -67,20 +76,24 @@ def workbook_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     such a type, every other is text; this takes one pass over the cells, of which
     the driver sees one row per column.
     """
-    cells = read_workbook_cells(spark, path)
-    tables = {}
-    for sheet, columns in _sheet_columns(cells).items():
-        rows = read_workbook_cells(spark, path, sheet).where(F.col("row_no") > 1)
-        values = [F.get("cells", F.lit(position)) for position, _, _ in columns]
-        typed = [
-            value.try_cast(dtype).alias(name)
-            for value, (_, name, dtype) in zip(values, columns, strict=True)
-        ]
-        tables[sheet] = rows.where(F.coalesce(*values).isNotNull()).select(*typed)
-    return tables
-
-
-def _sheet_columns(cells: DataFrame) -> dict[str, list[tuple[int, str, str]]]:
+    return {
+        sheet: sheet_table(read_workbook_cells(spark, path, sheet), columns)
+        for sheet, columns in sheet_columns(read_workbook_cells(spark, path)).items()
+    }
+
+
+def sheet_table(cells: DataFrame, columns: list[tuple[int, str, str]]) -> DataFrame:
+    """The rows below the header as typed columns; blank rows are left out."""
+    values = [F.get("cells", F.lit(position)) for position, _, _ in columns]
+    typed = [
+        value.try_cast(dtype).alias(name)
+        for value, (_, name, dtype) in zip(values, columns, strict=True)
+    ]
+    filled = (F.col("row_no") > 1) & F.coalesce(*values).isNotNull()
+    return cells.where(filled).select(*typed)
+
+
+def sheet_columns(cells: DataFrame) -> dict[str, list[tuple[int, str, str]]]:
     """(position, name, type) of each column of each sheet."""
     zipped = F.posexplode(F.arrays_zip("cells", "kinds")).alias("pos", "entry")
     entries = cells.select("sheet", "row_no", zipped).select(

@@ -454,6 +454,7 @@ def t02b(spark, d):
 
 # Chains ---------------------------------------------------------------------
 
+# Steps, messages and columns of the configuration that is checked.
 FILL = {"method": "constant", "value": "Not Available"}
 
 CLEANING = {

@@ -2,19 +2,29 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from shopgrain.plans import run_cleaning
 from shopgrain.plans.saving import SETTING
 from shopgrain.sinks import create_table
-from shopgrain.sources import flatten_arrays, list_files, load_dataset
+from shopgrain.sources import (
+    flatten_arrays,
+    list_files,
+    load_dataset,
+    sheet_columns,
+    sheet_table,
+    workbook_cells,
+)
 
 from .cleaning import BLANKED
 from .registry import query
 from .views import table, view
+from .workbooks import write_workbook
 
 
 def scratch(spark: SparkSession) -> str:
@@ -100,6 +110,26 @@ def s06b(spark, d):
     return flatten_arrays(table(spark, d, "embeddings"), "embedding")
 
 
+@query("s08_workbook_scan", CUSTOMERS)
+def s08(spark, d):
+    """Customers packed into workbooks by tasks, a sheet per batch, and read back."""
+
+    def pack(batches):
+        for batch in batches:
+            rows = batch.astype(object).values.tolist()
+            if not rows:
+                continue
+            content = io.BytesIO()
+            write_workbook(content, {"customers": [list(batch.columns), *rows]})
+            path = f"{rows[0][0]}.xlsx"
+            yield pd.DataFrame({"path": [path], "content": [content.getvalue()]})
+
+    customers = _customers(spark, d)
+    books = customers.mapInPandas(pack, "path string, content binary")
+    cells = workbook_cells(books, "customers")
+    return sheet_table(cells, sheet_columns(cells)["customers"])
+
+
 @query("s07_parquet_scan", CUSTOMERS)
 def s07(spark, d):
     folder = scratch(spark)

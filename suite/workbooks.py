@@ -1,8 +1,14 @@
 """Write small .xlsx files with the standard library."""
 
+import sys
 import zipfile
 from xml.sax.saxutils import escape
 
+from pyspark.cloudpickle import register_pickle_by_value
+
+# Tasks get the functions below by value; workers need no copy of the suite.
+register_pickle_by_value(sys.modules[__name__])
+
 MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
 DOC = "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
 PACKAGE = "http://schemas.openxmlformats.org/package/2006/relationships"

@@ -13,7 +13,7 @@ from shopgrain.sources import (
     workbook_tables,
 )
 from shopgrain.sources.files import read_csv
-from tests.workbooks import write_workbook
+from suite.workbooks import write_workbook
 
 SHEETS = {
     "customer": [
