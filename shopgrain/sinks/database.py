@@ -37,17 +37,7 @@ def jdbc_runner(
     """Run statements in one transaction through the session's JDBC driver."""
 
     def run(statements: Sequence[str]) -> None:
-        jvm = spark.sparkContext._jvm
-        settings = jvm.java.util.Properties()
-        for key, value in properties.items():
-            settings.setProperty(key, str(value))
-        if "driver" in properties:
-            jvm.java.lang.Class.forName(
-                properties["driver"],
-                True,
-                jvm.java.lang.Thread.currentThread().getContextClassLoader(),
-            )
-        connection = jvm.java.sql.DriverManager.getConnection(url, settings)
+        connection = _connect(spark, url, properties)
         try:
             connection.setAutoCommit(False)
             statement = connection.createStatement()
@@ -63,6 +53,23 @@ def jdbc_runner(
     return run
 
 
+def _connect(spark: SparkSession, url: str, properties: Mapping[str, str]):
+    """A JDBC connection; a named driver is found among the session's jars too."""
+    jvm = spark.sparkContext._jvm
+    settings = jvm.java.util.Properties()
+    for key, value in properties.items():
+        settings.setProperty(key, str(value))
+    name = properties.get("driver")
+    if name is None:
+        return jvm.java.sql.DriverManager.getConnection(url, settings)
+    loader = jvm.java.lang.Thread.currentThread().getContextClassLoader()
+    driver = jvm.java.lang.Class.forName(name, True, loader).newInstance()
+    connection = driver.connect(url, settings)
+    if connection is None:
+        raise ValueError(f"driver {name} does not take the URL {url}")
+    return connection
+
+
 def upsert_jdbc(
     df: DataFrame,
     url: str,

@@ -122,6 +122,46 @@ def test_loader_for_all_tables(spark, rows, calls, monkeypatch, values):
     assert [c[0].split()[0] for c in calls if isinstance(c, list)] == ["CREATE", "INSERT"]
 
 
+def test_connections_are_refused_without_a_fitting_driver(spark):
+    with pytest.raises(Exception, match="No suitable driver"):
+        database.jdbc_runner(spark, "jdbc:nothing:x", {"user": "u"})(["SELECT 1"])
+    client = {"driver": "org.apache.hive.jdbc.HiveDriver", "user": "u"}
+    with pytest.raises(ValueError, match="does not take"):
+        database.jdbc_runner(spark, "jdbc:nothing:x", client)(["SELECT 1"])
+
+
+class FakeConnection:
+    def __init__(self, failing=False):
+        self.log, self.failing = [], failing
+
+    def __getattr__(self, name):
+        def call(*args):
+            self.log.append((name, *args))
+            if name == "execute" and self.failing:
+                raise RuntimeError("refused")
+            return self
+
+        return call
+
+
+def test_statements_run_in_one_transaction(spark, monkeypatch):
+    good, bad = FakeConnection(), FakeConnection(failing=True)
+    monkeypatch.setattr(database, "_connect", lambda *a: good)
+    database.jdbc_runner(spark, "u", {})(["A", "B"])
+    assert good.log == [
+        ("setAutoCommit", False),
+        ("createStatement",),
+        ("execute", "A"),
+        ("execute", "B"),
+        ("commit",),
+        ("close",),
+    ]
+    monkeypatch.setattr(database, "_connect", lambda *a: bad)
+    with pytest.raises(RuntimeError):
+        database.jdbc_runner(spark, "u", {})(["A", "B"])
+    assert [c[0] for c in bad.log[2:]] == ["execute", "rollback", "close"]
+
+
 def test_failed_merge_raises_and_keeps_the_stage(rows, calls, monkeypatch):
     monkeypatch.setattr(database, "table_exists", lambda *a: True)
 
