@@ -93,10 +93,17 @@ def is_missing(df: DataFrame, name: str, texts: Sequence[str] = ()) -> Column:
     return F.expr(missing_test(df, name, texts))
 
 
+def null_or_nan_test(df: DataFrame, name: str) -> str:
+    """SQL condition: null, or in a floating-point column NaN; never null."""
+    c = quoted(name)
+    if is_floating(type_of(df, name)):
+        return f"({c} IS NULL OR isnan({c}))"
+    return f"{c} IS NULL"
+
+
 def is_null_or_nan(df: DataFrame, name: str) -> Column:
     """True for null and, in floating-point columns, for NaN."""
-    c = named(name)
-    return c.isNull() | F.isnan(c) if is_floating(type_of(df, name)) else c.isNull()
+    return F.expr(null_or_nan_test(df, name))
 
 
 def blank_to_null(

@@ -8,8 +8,6 @@ of them starts a job (``exact=True`` medians excepted), and all but
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +25,7 @@ from ..functions.columns import (
     is_text,
     missing_test,
     named,
+    null_or_nan_test,
     numeric,
     require_columns,
     type_of,
@@ -144,6 +143,7 @@ def _fill(
     if not columns:
         return df
 
+    filled = df
     if method == "constant":
         fills = dict.fromkeys(columns, F.lit(value))
     elif method == "median" and exact:
@@ -162,12 +162,14 @@ def _fill(
             statistic(F.when(~is_null_or_nan(df, c), named(c))).alias(f"fill_{i}")
             for i, c in enumerate(columns)
         ]
-        row = df.agg(F.struct(*answers)).scalar()
-        fills = {c: row.getField(f"fill_{i}") for i, c in enumerate(columns)}
+        filled = df.withColumn("_fills", df.agg(F.struct(*answers)).scalar())
+        fills = {
+            c: F.col("_fills").getField(f"fill_{i}") for i, c in enumerate(columns)
+        }
 
-    return df.withColumns(
+    return filled.withColumns(
         {c: F.coalesce(_nan_to_null(df, c), _as_type(df, c, f)) for c, f in fills.items()}
-    )
+    ).drop("_fills")
 
 
 def _most_frequent(df: DataFrame, name: str) -> DataFrame:
@@ -205,7 +207,7 @@ def split_nulls(
     checked = list(columns) if columns else df.columns
     require_columns(df, checked)
     recoded = blank_to_null(df, df.columns, BLANK_TEXTS)
-    incomplete = reduce(or_, [is_null_or_nan(recoded, c) for c in checked])
+    incomplete = F.expr(" OR ".join(null_or_nan_test(recoded, c) for c in checked))
     return recoded.where(~incomplete), recoded.where(incomplete)
 
 
@@ -339,10 +341,18 @@ def convert_column_type(
 
 def total_null_count(df: DataFrame) -> DataFrame:
     """Nulls and ``null`` texts over all columns, as one row, in one pass."""
-    per_column = [
-        f"count_if({missing_test(df, c, NULL_TEXT)})" for c in df.columns
-    ]
-    return df.agg(F.expr(" + ".join(per_column)).alias("total_null_count"))
+    counts = df.agg(
+        *[
+            F.expr(f"count_if({missing_test(df, c, NULL_TEXT)}) AS n{i}")
+            for i, c in enumerate(df.columns)
+        ]
+    )
+    total = F.aggregate(
+        F.array(*counts.columns),
+        F.lit(0).cast("bigint"),
+        lambda total, n: total + n,
+    )
+    return counts.select(total.alias("total_null_count"))
 
 
 def calculate_total_null_count(df: DataFrame) -> int:

@@ -87,6 +87,38 @@ def test_items_are_summed_before_they_are_shuffled(spark, conf, name):
     assert "partial_sum" in text[last_exchange:scan]
 
 
+def test_hot_duplicates_merge_in_the_map_tasks(spark):
+    rows = spark.range(90_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS k", "id AS a", "'x' AS b"
+    )
+    kept = op.remove_duplicates(rows.repartition(8), ["k"])
+    text = plan(kept)
+    below_shuffle = text.index("Exchange hashpartitioning(k")
+    assert "partial_min" in text[below_shuffle:]
+    assert kept.where("k = -1").collect()[0].a == 0
+    assert kept.count() == 60_001
+
+
+def test_computed_fills_run_one_subquery(spark):
+    text = planned(spark, "c03_impute_nulls_mean")
+    assert text.count("Subquery subquery") == 1
+
+
+def test_wide_tables(spark):
+    wide = spark.range(50).selectExpr(
+        *[
+            f"CASE WHEN id % {i + 2} = 0 THEN 'null' ELSE 'x' END AS c{i}"
+            for i in range(260)
+        ]
+    )
+    nulls = sum(sum(v % (i + 2) == 0 for v in range(50)) for i in range(260))
+    assert op.calculate_total_null_count(wide) == nulls
+    kept, rejected = op.split_nulls(wide)
+    assert kept.count() + rejected.count() == 50
+    profile = op.profile_table(wide, "wide")
+    assert profile.groupBy().sum("null_count").first()[0] == nulls
+
+
 def test_only_used_columns_are_read(spark):
     assert "ReadSchema: struct<l_partkey:bigint,l_quantity:double>" in planned(
         spark, "a01_top_selling_products"
