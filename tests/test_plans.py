@@ -101,7 +101,7 @@ def test_hot_duplicates_merge_in_the_map_tasks(spark):
 
 def test_computed_fills_run_one_subquery(spark):
     text = planned(spark, "c03_impute_nulls_mean")
-    assert text.count("Subquery subquery") == 1
+    assert text.count("+- Subquery subquery") == 1
 
 
 def test_wide_tables(spark):
