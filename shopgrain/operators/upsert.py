@@ -7,10 +7,14 @@ from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.columns import named, require_columns
 from .cleaning import remove_duplicates
 
+# Times a key may be sent to the join that looks for replaced rows.
+SALTS = 32
+
 
 def upsert_by_key(
     target: DataFrame, source: DataFrame, keys: Sequence[str]
@@ -19,20 +23,31 @@ def upsert_by_key(
 
     Source rows are made unique by key first. A null key matches nothing, so such
     rows of both sides stay, as in a SQL ``MERGE``. The target is filtered by an
-    anti join on the keys alone: a small source is broadcast by its size and the
-    target is not shuffled, and hot keys of the target are split by AQE.
+    anti join on the keys alone: Spark broadcasts a small source by its size, and
+    then the target is not shuffled.
     """
     if not keys:
         raise ValueError("an upsert needs at least one key column")
     require_columns(target, [*keys, *source.columns])
     require_columns(source, [*keys, *target.columns])
-    # Distinct keys: map tasks shrink a hot source key before it is shuffled.
-    replaced = source.select(*[named(k) for k in keys]).distinct()
-    kept = target.join(replaced, list(keys), "left_anti")
+    kept = target.join(_replaced_keys(source, keys), list(keys), "left_anti")
     ordered = kept.select(*[named(c) for c in target.columns])
     return ordered.unionByName(unique_by_key(source, keys))
 
 
+def _replaced_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of the source, a hot one at most ``SALTS`` times.
+
+    The salt keeps these rows from being partitioned by the key alone. So the join
+    shuffles both of its sides itself, which is the form whose hot target keys (a
+    third of the target without a key, say) AQE splits. Which copies remain does
+    not matter to an anti join.
+    """
+    salt = F.spark_partition_id() % SALTS
+    key_columns = [named(k) for k in keys]
+    return source.select(*key_columns, salt.alias("_salt")).distinct().drop("_salt")
+
+
 def unique_by_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per complete key; rows with a null in the key all stay."""
     complete = remove_duplicates(source.where(~_any_null(keys)), keys)

@@ -181,6 +181,40 @@ def test_hot_keys_are_split_and_nothing_is_lost(spark, conf):
     assert "skew=true" in plan(found)
 
 
+def test_hot_target_keys_of_an_upsert_are_split(spark, conf):
+    conf(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="100k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="50k",
+    )
+    target = spark.range(300_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL ELSE id END AS k", "repeat('x', 40) AS v"
+    )
+    source = spark.range(200_000).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 1 ELSE id END AS k", "'new' AS v"
+    )
+    found = op.upsert_by_key(target, source, ["k"])
+    counts = {r.v[:3]: r["count"] for r in found.groupBy("v").count().collect()}
+    new_keys = source.select("k").distinct().count()
+    replaced = target.join(source, "k", "left_semi").count()
+    assert counts == {"xxx": 300_000 - replaced, "new": new_keys}
+    found.collect()
+    assert "skew=true" in plan(found)
+
+
+def test_hot_order_is_summed_completely(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    customers, orders, items, _ = hot_orders(spark)
+    priced = items.selectExpr("*", "CAST(2 AS DECIMAL(12,2)) AS price")
+    named = customers.selectExpr(
+        "customer_id", "'a' AS first_name", "CAST(customer_id AS STRING) AS last_name"
+    )
+    found = op.customer_lifetime_value(priced, orders, named)
+    expected = 2 * items.groupBy().sum("quantity").first()[0]
+    assert found.groupBy().sum("CLV").first()[0] == expected
+
+
 def test_date_filter_is_a_range(spark):
     orders = view(spark, SF_DIR, "shop_orders")
     start, end = date(1997, 1, 1), date(1998, 1, 1)
