@@ -10,12 +10,19 @@ SETTING = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the session's settings name it."""
+    """The folder all executors share, as the session's settings name it.
+
+    Where no checkpoint folder is set, the session's own warehouse folder serves.
+    """
     context = spark.sparkContext
     folder = context.getConf().get(SETTING) or context.getCheckpointDir()
-    if not folder:
-        raise ValueError(f"{SETTING} is not set; it must name a shared folder")
-    return folder.rstrip("/")
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+
+
+def new_folder(spark: SparkSession) -> str:
+    """A new folder for working files, below one that can be removed per application."""
+    application = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/shopgrain-{application}/{uuid.uuid4().hex}"
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -24,6 +31,6 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     The copy survives lost executors, and readers of it skip unused columns.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/shopgrain-{uuid.uuid4().hex}/{name}"
+    path = f"{new_folder(spark)}/{name}"
     df.write.parquet(path)
     return spark.read.parquet(path)

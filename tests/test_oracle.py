@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from suite import REGISTRY
 from tools.compare import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -15,7 +16,7 @@ def duck():
     connection.close()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(REGISTRY))
 def test_query_equals_sql(spark, duck, name):
     assert compare(spark, duck, SF_DIR, name) == ""
 
