@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, pii
+from . import bpe, pii, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return simhash.near_duplicates(documents, "doc_id", "text", words=4, max_bits=4)
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_spans(table(spark, sf_dir, "documents"), "text", ["doc_id"])
 
@@ -29,6 +34,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_simhash": op2,
     "op5_pii": op5,
     "op8_bpe": op8,
 }

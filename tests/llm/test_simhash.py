@@ -1,0 +1,147 @@
+"""Fingerprints, index and classes against brute force."""
+
+import numpy as np
+import pytest
+import xxhash
+
+from shopgrain.llm.components import components
+from shopgrain.llm.simhash import (
+    Index,
+    fingerprint,
+    grouped_links,
+    links,
+    near_duplicates,
+)
+
+
+def slow_fingerprint(text, k=4):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    for white in "\t\n\x0b\x0c\r":
+        lowered = lowered.replace(white, " ")
+    words = [w for w in lowered.split(" ") if w]
+    if not words:
+        return 0
+    shingles = [words[i : i + k] for i in range(max(1, len(words) - k + 1))]
+    hashes = [xxhash.xxh64(" ".join(s).encode(), seed=42).intdigest() for s in shingles]
+    bits = (sum(h >> b & 1 for h in hashes) * 2 > len(hashes) for b in range(64))
+    return sum(1 << b for b, one in enumerate(bits) if one)
+
+
+def classes(values, limit):
+    """The smallest index reachable, by brute force."""
+    root = list(range(len(values)))
+    for i in range(len(values)):
+        for j in range(i):
+            if bin(int(values[i]) ^ int(values[j])).count("1") <= limit:
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    return root
+
+
+def clustered(rng, n, centers, flips):
+    base = rng.integers(0, 1 << 64, centers, dtype=np.uint64, endpoint=False)
+    out = base[rng.integers(0, centers, n)]
+    for _ in range(flips):
+        out = out ^ (np.uint64(1) << rng.integers(0, 64, n).astype(np.uint64))
+    return np.unique(out)
+
+
+def as_classes(values, a, b):
+    root = {int(v): int(v) for v in values}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        root[find(x)] = find(y)
+    groups = {}
+    for i, v in enumerate(values):
+        groups.setdefault(find(int(v)), []).append(i)
+    return sorted(groups.values())
+
+
+def by_class(roots):
+    groups = {}
+    for i, r in enumerate(roots):
+        groups.setdefault(r, []).append(i)
+    return sorted(groups.values())
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["", None, "  \t\n", "One", "a b c", "A b\tC d", "x " * 50, "Éa É\x85b c d e f g", "q w e r t y u i o p " * 9],
+)
+def test_fingerprint(text):
+    assert fingerprint(text, 4) == slow_fingerprint(text)
+
+
+@pytest.mark.parametrize(("n", "centers", "flips"), [(40, 30, 2), (400, 6, 3), (500, 1, 4), (700, 40, 5)])
+def test_index_links_like_all_pairs(n, centers, flips):
+    values = clustered(np.random.default_rng(n), n, centers, flips)
+    a, b = Index(values).links(4)
+    assert all(bin(int(x) ^ int(y)).count("1") < 64 for x, y in zip(a, b, strict=True))
+    assert as_classes(values, a, b) == by_class(classes(values, 4))
+
+
+def test_index_links_whole_nodes():
+    """A full cube of few bits is one class, found without looking at its pairs."""
+    values = np.arange(1 << 12, dtype=np.uint64)
+    a, b = Index(values).links(4)
+    assert len(as_classes(values, a, b)) == 1
+
+
+def test_groups_of_all_sizes_stay_apart():
+    values = np.arange(100, dtype=np.int64)
+    rows = np.stack([np.zeros(100, np.int64), np.repeat([1, 2, 3], [1, 2, 97]), values])
+    a, b = grouped_links(rows, 4)
+    assert as_classes(values, a, b) == [[0], [1, 2], list(range(3, 100))]
+
+
+@pytest.mark.parametrize("node", [20, 1 << 14])
+def test_links_with_split_nodes(spark, node):
+    values = clustered(np.random.default_rng(5), 300, 3, 3)
+    df = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fp long")
+    edges = links(df, 4, node).toPandas()
+    a, b = (edges[c].to_numpy(np.int64).view(np.uint64) for c in "ab")
+    assert as_classes(values, a, b) == by_class(classes(values, 4))
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    chain = [(i, i + 1) for i in range(200)]
+    star = [(1000, 1000 + i) for i in range(1, 150)]
+    other = [(5000, 5000), (-7, -9), (-9, -7), (-7, -9), (None, 3)]
+    df = spark.createDataFrame(chain + star + other, "a long, b long")
+    rows = components(df).collect()
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.root, set()).add(r.node)
+    assert sorted(map(sorted, groups.values())) == [
+        [-9, -7], list(range(201)), list(range(1000, 1150))
+    ]
+    assert all(root in nodes for root, nodes in groups.items())
+    assert components(df.limit(0)).count() == 0
+
+
+def test_near_duplicates_and_edge_rows(spark):
+    """Null, blank and long texts, repeated rows, a null id, clashing names, no rows."""
+    rng = np.random.default_rng(1)
+    words = [f"w{i}" for i in range(300)]
+    texts = [" ".join(rng.choice(words, 150)) for _ in range(40)]
+    texts += [t + " tail" for t in texts[:20]] + texts[:10] + [None, "", " \n", "one", "x " * 60000]
+    rows = [(i + 3, t, "f", 0) for i, t in enumerate(texts)] + [(3, texts[0], "f", 0), (None, texts[1], "f", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, fp string, component_id int")
+    out = near_duplicates(df, "doc_id", "text")
+    assert out.columns == ["doc_id", "fingerprint", "component_id"]
+    got = out.collect()
+    assert len(got) == len(rows)
+    prints = [slow_fingerprint(r[1]) for r in rows]
+    roots = classes(prints, 4)
+    expected = []
+    for i, r in enumerate(rows):
+        ids = [rows[k][0] for k in range(len(rows)) if roots[k] == roots[i]]
+        expected.append((r[0], f"{prints[i]:016x}", min(x for x in ids if x is not None)))
+    order = lambda x: (x[0] is None, x)
+    assert sorted(map(tuple, got), key=order) == sorted(expected, key=order)
+    assert near_duplicates(df.limit(0), "doc_id", "text").count() == 0
