@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, pii, simhash
+from shopgrain.plans.saving import new_folder
+
+from . import bpe, mixing, pii, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,15 +30,29 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_spans(table(spark, sf_dir, "documents"), "text", ["doc_id"])
 
 
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark)
+    warc.write_archives(table(spark, sf_dir, "pages"), folder, "page_id", "url", "html")
+    records = warc.read_archives(spark, folder, content=False)
+    return warc.capture_digests(warc.transactions(records))
+
+
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return bpe.token_digests(documents, "text", VOCABULARY, ["doc_id"])
 
 
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return mixing.taken_words(mixing.mix_sources(documents, "doc_id", "text", "source"))
+
+
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2,
     "op5_pii": op5,
+    "op7_warc": op7,
     "op8_bpe": op8,
+    "op10_mixing": op10,
 }
 
 SQL: dict[str, str] = {}
