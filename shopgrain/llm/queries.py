@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopgrain.plans.saving import new_folder
 
-from . import bpe, mixing, pii, simhash, warc
+from . import bpe, mixing, order_minhash, pii, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_spans(table(spark, sf_dir, "documents"), "text", ["doc_id"])
 
 
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return order_minhash.edited_fingerprints(documents, "doc_id", "text")
+
+
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark)
     warc.write_archives(table(spark, sf_dir, "pages"), folder, "page_id", "url", "html")
@@ -50,6 +55,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2,
     "op5_pii": op5,
+    "op6_order_minhash": op6,
     "op7_warc": op7,
     "op8_bpe": op8,
     "op10_mixing": op10,
