@@ -241,7 +241,8 @@ def mix_sources(
         (F.least("end", (F.col("block") + 1) * block) - first).alias("words"),
     )
     slots = block_slots(sources, spark, shards, seed)
-    pieces = slots.join(cut, ["source_no", "block"])
+    # Both sides grow with the data, whatever their estimates say: never broadcast.
+    pieces = slots.join(cut.hint("merge"), ["source_no", "block"])
     return Mix(documents, pieces)
 
 

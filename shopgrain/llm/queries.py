@@ -7,9 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from shopgrain.plans.saving import new_folder
+from shopgrain.plans.saving import new_folder, saved
 
-from . import bpe, mixing, order_minhash, pii, simhash, warc
+from . import bpe, cap_filters, mixing, order_minhash, pii, resampling, simhash, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +26,15 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents, "doc_id", "text", words=4, max_bits=4)
 
 
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return resampling.resample(documents, labels)
+
+
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cap_filters.near_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii_spans(table(spark, sf_dir, "documents"), "text", ["doc_id"])
 
@@ -38,7 +47,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark)
     warc.write_archives(table(spark, sf_dir, "pages"), folder, "page_id", "url", "html")
-    records = warc.read_archives(spark, folder, content=False)
+    records = saved(warc.read_archives(spark, folder, content=False), "records")
     return warc.capture_digests(warc.transactions(records))
 
 
@@ -54,6 +63,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_simhash": op2,
+    "op3_quality": op3,
+    "op4_cap_filters": op4,
     "op5_pii": op5,
     "op6_order_minhash": op6,
     "op7_warc": op7,
