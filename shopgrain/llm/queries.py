@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopgrain.plans.saving import new_folder, saved
 
-from . import bpe, cap_filters, mixing, order_minhash, pii, resampling, simhash, warc
+from . import bpe, cap_filters, mixing, order_minhash, pii, resampling, simhash, suffix_groups, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,6 +56,10 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_digests(documents, "text", VOCABULARY, ["doc_id"])
 
 
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_groups.remove_repeats(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return mixing.taken_words(mixing.mix_sources(documents, "doc_id", "text", "source"))
@@ -69,6 +73,7 @@ QUERIES: dict[str, Query] = {
     "op6_order_minhash": op6,
     "op7_warc": op7,
     "op8_bpe": op8,
+    "op9_suffix_groups": op9,
     "op10_mixing": op10,
 }
 
