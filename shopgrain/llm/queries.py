@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopgrain.plans.saving import new_folder, saved
 
-from . import bpe, cap_filters, mixing, order_minhash, pii, resampling, simhash, suffix_groups, warc
+from . import bpe, cap_filters, html_blocks, mixing, order_minhash, pii, resampling, simhash, suffix_groups, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(table(spark, sf_dir, "pages"), "html", ["page_id", "url"])
+
+
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return simhash.near_duplicates(documents, "doc_id", "text", words=4, max_bits=4)
@@ -66,6 +70,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_html_blocks": op1,
     "op2_simhash": op2,
     "op3_quality": op3,
     "op4_cap_filters": op4,

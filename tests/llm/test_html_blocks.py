@@ -1,0 +1,129 @@
+"""Blocks of awkward markup; the labeller on held-out and on given pages."""
+
+import html
+import random
+import re
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+
+from shopgrain.llm.html_blocks import (
+    MARK,
+    Vectors,
+    blocks,
+    extract,
+    main_texts,
+    model,
+    sample_page,
+    scores,
+    states,
+)
+
+PAGES = "/root/testdata/sf0.01/pages.parquet"
+
+
+def texts(page):
+    return [b.text for b in blocks(page)]
+
+
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        ("", []),
+        ("a  b\n c", ["a b c"]),
+        ("<p>a<p>b<b>c</p>d", ["a", "bc", "d"]),
+        ("<p>x<br>y &amp; z&copy;", ["x y & z©"]),
+        ("<script>var t='</p>';</script><style>p{}</style>t<!-- c > --><title>no</title>", ["t"]),
+        ("<SCRIPT>a</SCRIPT >b<script>never closed", ["b"]),
+        ("<a title='x>y'>in</a> out <a title=\"open>rest", ["in out rest"]),
+        ("1 < 2 <3 & 4", ["1 < 2 <3 & 4"]),
+        ("<ul><li>a<li>b</ul>c", ["a", "b", "c"]),
+        ("<table><tr><td>a<td>b<tr><td>c</table>", ["a", "b", "c"]),
+        ("</div></p>x<![CDATA[y]]><!doctype html><?php z ?>", ["x"]),
+        ("<!-- never closed <p>x", []),
+        ("a<p", ["a"]),
+        ("a<!x", ["a"]),
+        ("&#233;&nbsp;&lt;p&gt;", ["é <p>"]),
+    ],
+)
+def test_blocks(page, expected):
+    assert texts(page) == expected
+
+
+def test_paths_follow_open_elements():
+    found = blocks('<div class="SideBar left" id=x><p>a</div><p>b')
+    assert found[0].path == (("<div", "side", "bar", "left", "x"), ("<p",))
+    assert found[1].path == (("<p",),)
+
+
+@pytest.mark.parametrize("unit", ["<div>", "<p", "<!--", "<a href='", "</p>", "&amp;", "<b>x", "<p>\"x"])
+def test_broken_markup_takes_linear_time(unit):
+    blocks(unit * 30_000)
+
+
+def test_states_do_not_depend_on_the_batch(monkeypatch):
+    rng, fitted = np.random.default_rng(1), model()
+    pages = [rng.standard_normal((n, fitted.fx.shape[0])).astype(np.float32) for n in (300, 40, 3, 1)]
+    whole = scores(pages, fitted)
+    monkeypatch.setattr("shopgrain.llm.html_blocks.CELLS", 64)
+    for page, expected in zip(pages, whole, strict=True):
+        assert np.allclose(scores([page], fitted)[0], expected, atol=1e-4)
+    assert [len(s) for s in states(pages, fitted.bx, fitted.bh, fitted.bb, True)] == [300, 40, 3, 1]
+
+
+def test_held_out_pages():
+    rng, vectors, fitted = random.Random(99), Vectors(), model()
+    hit = wrong = missed = 0
+    for _ in range(200):
+        found = blocks(sample_page(rng))
+        label = np.array([MARK in b.text for b in found], dtype=bool)
+        found = [b._replace(text=" ".join(b.text.replace(MARK, "").split()) or "-") for b in found]
+        said = scores([vectors.page(found)], fitted)[0] > 0
+        hit += (said & label).sum()
+        wrong += (said & ~label).sum()
+        missed += (~said & label).sum()
+    assert hit / (hit + wrong) > 0.97 and hit / (hit + missed) > 0.97
+
+
+def test_given_pages():
+    pages = pq.read_table(PAGES).column("html").to_pylist()
+    got = main_texts(pages, model(), Vectors())
+    right = 0
+    for page, text in zip(pages, got, strict=True):
+        article = re.search("<article>(.*?)</article>", page, re.S)[1]
+        expected = " ".join(html.unescape(re.sub("<[^>]*>", " ", article)).split())
+        right += text == expected
+    assert right >= 0.98 * len(pages)
+
+
+def test_other_layouts():
+    page = (
+        '<html><body><div class="site-header">My site</div><ul id="menu"><li><a href=x>Home</a></ul>'
+        '<div class="cookie-notice">We use cookies, okay?</div><main><div class="post-content">'
+        "<h1>The title</h1><p class=lead>First long paragraph of the story, that goes on and on.</p>"
+        '<div class="ad-container">Buy now</div><p>Second paragraph, it is also long &amp; good.</p>'
+        '</div></main><div id="sidebar"><h3>Popular</h3><ul><li><a>One</a></ul></div>'
+        '<section class="comments"><h2>Comments</h2><div class="comment"><p>I really think this '
+        "article is great and I would like to say so.</p></div><form><label>Name</label><input>"
+        '<button>Send</button></form></section><div id="footer">Copyright 2020</div></body></html>'
+    )
+    (text,) = main_texts([page], model(), Vectors())
+    assert text == (
+        "The title First long paragraph of the story, that goes on and on. "
+        "Second paragraph, it is also long & good."
+    )
+
+
+def test_edge_rows(spark):
+    """Null, empty and very long pages, repeated rows, clashing names, no rows."""
+    long = "<article>" + "<p>Some words of a long page, and more of them.</p>" * 20_000 + "</article>"
+    rows = [(1, "u", None, 0), (2, None, "", 0), (3, "u", long, 0), (3, "u", long, 0), (None, "u", "<p>", 0)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
+    out = extract(df, "html", ["page_id", "url"])
+    assert out.columns == ["page_id", "url", "text", "n_chars"]
+    got = out.collect()
+    assert len(got) == 5 and all(r.n_chars == len(r.text) for r in got)
+    assert {r.text for r in got if r.page_id != 3} == {""}
+    assert {r.n_chars for r in got if r.page_id == 3} == {45 * 20_000 - 1}
+    assert extract(df.limit(0), "html", ["page_id"]).count() == 0
