@@ -10,6 +10,7 @@ a source is.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
@@ -21,6 +22,8 @@ from pyspark.sql.window import Window
 
 from shopgrain.plans.saving import saved
 
+from .arrow import map_rows
+
 #: Words per block, output shards, most passes over a source.
 BLOCK, SHARDS, PASSES = 128, 256, 2
 #: Sources weigh so, by code point and in turn.
@@ -128,7 +131,10 @@ def permuted(index: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray
 
 
 def block_slots(sources: list[Source], spark, shards: int, seed: int) -> DataFrame:
-    """``shard, slot, source_no, block``: a row per slot of the mix."""
+    """``shard, slot, source_no, block, turn``: a row per slot of the mix.
+
+    ``turn`` counts the passes over the source.
+    """
     rows = [
         (shard, source, first, count, sources[source].blocks)
         for shard, source, first, count in draws([s.slots for s in sources], shards, seed)
@@ -145,21 +151,23 @@ def block_slots(sources: list[Source], spark, shards: int, seed: int) -> DataFra
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             shard, source, slot, blocks = (c.to_numpy() for c in batch.columns)
+            turn = slot // blocks
             key = (np.uint64(seed) << np.uint64(20)) + source.astype(np.uint64)
-            key = mix64(key * np.uint64(PASSES + 1) + (slot // blocks).astype(np.uint64))
+            key = mix64(key * np.uint64(PASSES + 1) + turn.astype(np.uint64))
             at = permuted(slot % blocks, blocks, key)
             yield pa.RecordBatch.from_arrays(
-                [*map(pa.array, (shard, slot, source, at))],
-                names=["shard", "slot", "source_no", "block"],
+                [*map(pa.array, (shard, slot, source, at, turn))],
+                names=["shard", "slot", "source_no", "block", "turn"],
             )
 
-    return slots.mapInArrow(run, "shard int, slot long, source_no int, block long")
+    schema = "shard int, slot long, source_no int, block long, turn long"
+    return slots.mapInArrow(run, schema)
 
 
 class Mix(NamedTuple):
     """``documents``: ``row, <kept columns>, source, size, source_size, target``.
-    ``pieces``: ``shard, slot, source_no, block, row, first_word, words``, the parts of
-    documents in the order of the mix's blocks."""
+    ``pieces``: ``shard, slot, source_no, block, turn, row, first_word, words``, the parts
+    of documents that the mix's blocks hold."""
 
     documents: DataFrame
     pieces: DataFrame
@@ -252,3 +260,46 @@ def taken_words(mix: Mix) -> DataFrame:
     return mix.documents.join(taken, "row", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).alias("taken")
     )
+
+
+def taken_texts(mix: Mix, df: DataFrame, doc_id: str, text: str, keep: list[str]) -> DataFrame:
+    """``keep``, ``turn`` and ``text``: what the mix takes of each row of ``df``.
+
+    A row per document and pass over its source; ``text`` joins the taken stretches,
+    white space inside as it was, by line ends. Documents of which a pass takes nothing
+    have no row for it. Texts go through one shuffle.
+    """
+    same = ["doc_id", "mark"]
+    taken = mix.pieces.groupBy("row", "turn").agg(
+        F.collect_list(F.struct("first_word", "words")).alias("parts")
+    )
+    nth = F.row_number().over(Window.partitionBy(*same).orderBy("row")).alias("nth")
+    rows = mix.documents.select("row", *same, nth).join(taken, "row")
+    texts = df.select(
+        df[doc_id].alias("doc_id"),
+        F.xxhash64(df[text]).alias("mark"),
+        df[text].alias("whole"),
+        F.struct(*(df[c] for c in keep)).alias("kept"),
+    )
+    order = Window.partitionBy(*same).orderBy(F.lit(0))
+    texts = texts.withColumn("nth", F.row_number().over(order))
+    on = texts.doc_id.eqNullSafe(rows.doc_id) & (texts.mark == rows.mark) & (texts.nth == rows.nth)
+    met = texts.hint("merge").join(rows.hint("merge"), on).select("kept", "turn", "whole", "parts")
+
+    def make():
+        word = re.compile(WORD)
+
+        def one(whole: str, parts: list[dict]) -> str:
+            places = [m.span() for m in word.finditer(whole)]
+            stretches: list[list[int]] = []
+            for first, words in sorted((p["first_word"], p["words"]) for p in parts):
+                if stretches and stretches[-1][1] == first:
+                    stretches[-1][1] += words
+                else:
+                    stretches.append([first, first + words])
+            return "\n".join(whole[places[a][0] : places[z - 1][1]] for a, z in stretches)
+
+        return lambda wholes, parts: (list(map(one, wholes, parts)),)
+
+    found = map_rows(met, ["kept", "turn"], ["whole", "parts"], "text string", make)
+    return found.select("kept.*", "turn", "text")

@@ -291,9 +291,14 @@ def children(
 
 
 def near_duplicates(
-    df: DataFrame, doc_id: str, text: str, words: int = 4, max_bits: int = 4
+    df: DataFrame,
+    doc_id: str,
+    text: str,
+    words: int = 4,
+    max_bits: int = 4,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every row.
+    """``doc_id, fingerprint, component_id`` and the columns of ``keep`` for every row.
 
     ``fingerprint`` has 16 lowercase hex digits; ``component_id`` is the smallest id
     that links of at most ``max_bits`` differing bits reach, the row's own included.
@@ -301,7 +306,8 @@ def near_duplicates(
     stay; a null id stays null and names no component; an empty table gives no rows.
     Copies of a fingerprint are one node, so they cost no links.
     """
-    named = fingerprints(df, text, [doc_id], words).toDF("doc_id", "fp")
+    kept = [f"kept_{i}" for i in range(len(keep))]
+    named = fingerprints(df, text, [doc_id, *keep], words).toDF("doc_id", *kept, "fp")
     docs = saved(named, "fingerprints")
     firsts = saved(docs.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     roots = components(links(firsts.select("fp"), max_bits))
@@ -315,4 +321,5 @@ def near_duplicates(
         F.col("doc_id").alias(doc_id),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
+        *(F.col(k).alias(c) for k, c in zip(kept, keep, strict=True)),
     )

@@ -4,15 +4,41 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shopgrain.plans.saving import saved
 
-from . import bpe, pii
+from . import bpe, mixing, pii, resampling, simhash
 from .queries import VOCABULARY, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def select(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents whose importance weights put them among the target's share."""
+    labels = table(spark, sf_dir, "labels")
+    return resampling.resample(docs, labels, keep=COLUMNS).select(COLUMNS)
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id.
+
+    Rows that repeat an id are one document. Documents without an id stay if nothing
+    in their group has one.
+    """
+    marked = docs.withColumn("mark", F.xxhash64("text"))
+    found = simhash.near_duplicates(marked, "doc_id", "text", 4, 4, keep=("mark",))
+    smallest = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    kept = found.where(smallest).select(F.col("doc_id").alias("id"), F.col("mark").alias("of"))
+    kept = kept.distinct()
+    own = marked.doc_id.eqNullSafe(kept.id) & (marked.mark == kept.of)
+    stay = marked.join(kept, own, "left_semi")
+    unnamed = F.when(F.col("doc_id").isNull(), F.col("mark"))
+    same = Window.partitionBy("doc_id", unnamed).orderBy("mark")
+    first = stay.withColumn("nth", F.row_number().over(same)).where("nth = 1")
+    return first.select(COLUMNS)
+
+
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data gives way to marks; every document stays."""
     rest = [c for c in COLUMNS if c != "text"]
@@ -20,6 +46,13 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The words that the mix takes: a row per document and pass over its source."""
+    mixed = mixing.mix_sources(docs, "doc_id", "text", "source")
+    taken = mixing.taken_texts(mixed, docs, "doc_id", "text", ["doc_id", "lang", "source"])
+    return taken.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text."""
     ids = bpe.encode_column(docs, "text", VOCABULARY, ["doc_id", "lang", "source"])
@@ -27,7 +60,10 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", select),
+    ("simhash", deduplicate),
     ("pii", redact),
+    ("mixing", mix),
     ("bpe", encode),
 ]
 
