@@ -49,151 +49,174 @@ LAST = (1 << 63) - 1
 # -- suffix orders ------------------------------------------------------------------
 
 
+class Suffixes:
+    """The suffixes of many texts while they are grouped.
+
+    All arrays are flat, a row of ``stride`` cells per text. A text's symbols stand one
+    cell to the right, behind a guard that is smaller than all; places in the order
+    start at the row's first cell. A group is named by the place where it starts.
+    """
+
+    def __init__(self, text: np.ndarray, length: np.ndarray):
+        rows, width = text.shape
+        self.stride = width + 2
+        self.base = np.arange(rows) * self.stride
+        self.length = length.astype(np.int64)
+        cells = rows * self.stride
+        self.group = np.full(cells, -1, dtype=np.int64)
+        self.pointer = np.zeros(cells, dtype=np.int64)
+        # By place: the suffix there, the size of the group that starts there, the
+        # start of the group that ends there. By suffix: its place.
+        self.slot = np.zeros(cells, dtype=np.int64)
+        self.size = np.zeros(cells, dtype=np.int64)
+        self.start_of = np.zeros(cells, dtype=np.int64)
+        self.place = np.zeros(cells, dtype=np.int64)
+        self.moved = np.zeros(cells, dtype=bool)
+        self.first_groups(text)
+
+    def first_groups(self, text: np.ndarray) -> None:
+        """Suffixes grouped by their first symbol."""
+        row, column = np.nonzero(np.arange(text.shape[1]) < self.length[:, None])
+        order = np.lexsort((text[row, column], row))
+        row, column = row[order], column[order]
+        at = self.base[row] + np.arange(len(row)) - np.repeat(
+            np.cumsum(self.length) - self.length, self.length
+        )
+        suffix = self.base[row] + column + 1
+        symbol = text[row, column]
+        self.slot[at], self.place[suffix] = suffix, at
+        first = np.flatnonzero(
+            np.r_[True, (symbol[1:] != symbol[:-1]) | (row[1:] != row[:-1])]
+        )
+        many = np.diff(np.r_[first, len(row)])
+        self.group[suffix] = np.repeat(at[first], many)
+        self.size[at[first]] = many
+        self.start_of[at[first] + many] = at[first]
+
+    def grouped(self) -> None:
+        """Process the groups of all texts from the highest to the lowest."""
+        base, end = self.base, self.base + self.length
+        while len(end):
+            start = self.start_of[end]
+            many = end - start
+            cells = np.arange(int(many.sum())) + np.repeat(start - np.cumsum(many) + many, many)
+            members = np.sort(self.slot[cells])
+            found = self.previous_smaller(members, np.repeat(start, many))
+            self.pointer[members] = found
+            self.move_behind(found)
+            going = start > base
+            base, end = (base, start) if going.all() else (base[going], start[going])
+
+    def previous_smaller(self, members: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """For members of the groups ``own``: the last earlier suffix of a smaller group.
+
+        Suffixes of higher groups are done, so their pointers skip what lies between;
+        a member that meets another member of its group takes over what that one finds.
+        """
+        j = members - 1
+        group = self.group[j]
+        higher = np.flatnonzero(group > own)
+        while len(higher):
+            j[higher] = self.pointer[j[higher]]
+            group[higher] = self.group[j[higher]]
+            higher = higher[group[higher] > own[higher]]
+        # Members come in order, so a chain of equals starts at the last that met none.
+        first = np.maximum.accumulate(np.where(group == own, 0, np.arange(len(j))))
+        return j[first]
+
+    def move_behind(self, found: np.ndarray) -> None:
+        """Split the suffixes that were pointed to off their groups.
+
+        Those pointed to most often go last; equally often, they stay together.
+        """
+        j = found[self.group[found] >= 0]
+        if not len(j):
+            return
+        at = np.flatnonzero(np.r_[True, j[1:] != j[:-1]])
+        times = np.diff(np.r_[at, len(j)])
+        j = j[at]
+        home = self.group[j]
+        order = np.lexsort((-times, home))
+        j, home, times = j[order], home[order], times[order]
+        block = np.r_[True, home[1:] != home[:-1]]
+        part = block.copy()
+        part[1:] |= times[1:] != times[:-1]
+        part_at, block_at = np.flatnonzero(part), np.flatnonzero(block)
+        part_size = np.diff(np.r_[part_at, len(j)])
+        block_size = np.diff(np.r_[block_at, len(j)])
+        of_block = np.cumsum(block) - 1
+        behind = part_at + part_size - block_at[of_block[part_at]]
+        low = home[block_at]
+        high = low + self.size[low]
+        starts = high[of_block[part_at]] - behind
+        which = np.cumsum(part) - 1
+        self.group[j] = starts[which]
+        self.exchange(j, starts[which] + np.arange(len(j)) - part_at[which],
+                      (high - block_size)[of_block])
+        left = self.size[low] - block_size
+        self.size[low] = left
+        self.size[starts] = part_size
+        self.start_of[starts + part_size] = starts
+        stay = left > 0
+        self.start_of[low[stay] + left[stay]] = low[stay]
+
+    def exchange(self, j: np.ndarray, target: np.ndarray, zone: np.ndarray) -> None:
+        """Put suffixes ``j`` at ``target``; who stands there takes a place left free.
+
+        The targets of a group fill its end, from ``zone`` on.
+        """
+        here = self.place[j]
+        self.moved[j] = True
+        there = self.slot[target]
+        displaced = there[~self.moved[there]]
+        self.moved[j] = False
+        # Targets are in falling parts, so bring both sides into the order of groups.
+        free = here[here < zone]
+        free.sort()
+        displaced = displaced[np.argsort(self.group[displaced], kind="stable")]
+        self.slot[free], self.place[displaced] = displaced, free
+        self.slot[target], self.place[j] = j, target
+
+    def emitted(self) -> np.ndarray:
+        """The order of all suffixes, place by place, as columns of the texts.
+
+        The suffix before one that has its place comes next in its own group, and so
+        do the ones that its pointers lead to, until one has its place already.
+        """
+        order = np.zeros(len(self.group), dtype=np.int64)
+        filled = np.zeros(len(self.group), dtype=np.int64)
+        placed = np.zeros(len(self.group), dtype=bool)
+        placed[self.base] = True
+        last = self.base + self.length
+        order[self.base] = last
+        placed[last] = True
+        filled[self.base] = 1
+        by_length = np.argsort(-self.length, kind="stable")
+        base, falling = self.base[by_length], -self.length[by_length]
+        for i in range(int(self.length.max(initial=0))):
+            live = int(np.searchsorted(falling, -i))
+            j = order[base[:live] + i] - 1
+            j = j[~placed[j]]
+            while len(j):
+                group = self.group[j]
+                order[group + filled[group]] = j
+                filled[group] += 1
+                placed[j] = True
+                j = self.pointer[j]
+                j = j[~placed[j]]
+        columns = order.reshape(-1, self.stride)[:, :-2] - self.base[:, None] - 1
+        return columns
+
+
 def suffix_orders(text: np.ndarray, length: np.ndarray) -> np.ndarray:
     """The suffix array of each row of ``text``, in its first ``length`` columns.
 
     Row r is a text of ``length[r]`` symbols that ends with a symbol smaller than all
     others in it; columns beyond are not looked at.
     """
-    group, pointer = lyndon_groups(text, length)
-    return emitted(group, pointer, length)
-
-
-def first_groups(text: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """Suffixes by first symbol; a group is named by the place where it starts."""
-    rows, width = text.shape
-    inside = np.arange(width) < length[:, None]
-    keys = np.where(inside, text, np.iinfo(text.dtype).max)
-    order = np.argsort(keys, axis=1, kind="stable")
-    ranked = np.take_along_axis(keys, order, axis=1)
-    at = np.broadcast_to(np.arange(width), text.shape)
-    start = np.where(np.diff(ranked, axis=1, prepend=-1) != 0, at, 0)
-    start = np.maximum.accumulate(start, axis=1)
-    group = np.empty_like(at, dtype=np.int32, subok=False)
-    np.put_along_axis(group, order, start.astype(np.int32), axis=1)
-    return np.where(inside, group, -1).astype(np.int32)
-
-
-def lyndon_groups(text: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Final groups and previous-smaller pointers (-1: none) of all suffixes."""
-    rows, width = text.shape
-    group = first_groups(text, length)
-    pointer = np.full((rows, width), -1, dtype=np.int32)
-    # Per place: the size of the group that starts there, the start of the one that ends there.
-    size = np.zeros((rows, width + 1), dtype=np.int32)
-    at = np.nonzero(group >= 0)
-    np.add.at(size, (at[0], group[at]), 1)
-    start_of = np.zeros((rows, width + 1), dtype=np.int32)
-    r, s = np.nonzero(size)
-    start_of[r, s + size[r, s]] = s
-    live, end = np.arange(rows), length.astype(np.int64).copy()
-    own = group  # rows that are still at work, compacted from time to time
-    while len(live):
-        start = start_of[live, end[live]]
-        r, i = np.nonzero(own == start[:, None])
-        r = live[r]
-        s = group[r, i]
-        found = previous_smaller(group, pointer, r, i, s)
-        pointer[r, i] = found
-        move_behind(group, size, start_of, r, found)
-        end[live] = start
-        going = end[live] > 0
-        if not going.all():
-            live = live[going]
-        own = group if len(live) == rows else group[live]
-    return group, pointer
-
-
-def previous_smaller(
-    group: np.ndarray, pointer: np.ndarray, r: np.ndarray, i: np.ndarray, s: np.ndarray
-) -> np.ndarray:
-    """For members (r, i) of groups ``s``: the last earlier suffix of a smaller group.
-
-    Suffixes of higher groups are done, so their pointers skip what lies between; a
-    member that meets another member of its group takes over what that one finds.
-    """
-    j = i - 1
-    while True:
-        inside = j >= 0
-        higher = inside & (group[r, np.maximum(j, 0)] > s)
-        if not higher.any():
-            break
-        j = np.where(higher, pointer[r, np.maximum(j, 0)], j)
-    same = (j >= 0) & (group[r, np.maximum(j, 0)] == s)
-    # Members come in order of row and place, so a chain of equals starts at the last
-    # member that did not meet one.
-    first = np.maximum.accumulate(np.where(same, 0, np.arange(len(j))))
-    return j[first].astype(np.int32)
-
-
-def move_behind(
-    group: np.ndarray, size: np.ndarray, start_of: np.ndarray, r: np.ndarray, j: np.ndarray
-) -> None:
-    """Split the suffixes (r, j) that were pointed to off their groups.
-
-    Those pointed to most often go last; equally often, they stay together.
-    """
-    named = j >= 0
-    r, j = r[named], j[named]
-    if not len(r):
-        return
-    new = np.r_[True, (r[1:] != r[:-1]) | (j[1:] != j[:-1])]
-    at = np.flatnonzero(new)
-    times = np.diff(np.r_[at, len(r)])
-    r, j = r[at], j[at]
-    home = group[r, j]
-    order = np.lexsort((-times, home, r))
-    r, j, home, times = r[order], j[order], home[order], times[order]
-    block = np.r_[True, (r[1:] != r[:-1]) | (home[1:] != home[:-1])]
-    part = block | np.r_[True, times[1:] != times[:-1]]
-    part_at = np.flatnonzero(part)
-    part_size = np.diff(np.r_[part_at, len(r)])
-    block_at = np.flatnonzero(block)
-    block_size = np.diff(np.r_[block_at, len(r)])
-    which = np.cumsum(part) - 1
-    behind = part_at + part_size - block_at[np.cumsum(block)[part_at] - 1]
-    pr, ph = r[part_at], home[part_at]
-    ends = ph + size[pr, ph]
-    starts = ends - behind
-    group[r, j] = starts[which]
-    br, bh = r[block_at], home[block_at]
-    left = size[br, bh] - block_size
-    start_of[pr, starts + part_size] = starts
-    stay = left > 0
-    size[br, bh] = left
-    size[pr, starts] = part_size
-    start_of[br[stay], (bh + left)[stay]] = bh[stay]
-
-
-def emitted(group: np.ndarray, pointer: np.ndarray, length: np.ndarray) -> np.ndarray:
-    """The order of all suffixes, place by place.
-
-    The suffix before one that has its place comes next in its own group, and so do
-    the ones that its pointers lead to, until one has its place already.
-    """
-    rows, width = group.shape
-    order = np.full((rows, width), -1, dtype=np.int32)
-    filled = np.zeros((rows, width), dtype=np.int32)
-    placed = np.zeros((rows, width), dtype=bool)
-    every = np.arange(rows)
-    order[every, 0] = length - 1
-    placed[every, length - 1] = True
-    for i in range(width):
-        r = every[i < length]
-        j = order[r, i] - 1
-        go = j >= 0
-        r, j = r[go], j[go]
-        while len(r):
-            go = ~placed[r, j]
-            r, j = r[go], j[go]
-            g = group[r, j]
-            order[r, g + filled[r, g]] = j
-            filled[r, g] += 1
-            placed[r, j] = True
-            j = pointer[r, j]
-            go = j >= 0
-            r, j = r[go], j[go]
-    return order
+    suffixes = Suffixes(text, length)
+    suffixes.grouped()
+    return suffixes.emitted()
 
 
 # -- anchors --------------------------------------------------------------------------
