@@ -16,7 +16,7 @@ context, meet in one task with all contexts of equal anchors; the suffix order b
 equal strings together, and the smallest id of each run of equal strings decides.
 
 Repeats are resolved as early as they show, so that nothing hot is shuffled: an
-anchor that occurs twice in a batch asks nobody, a context that occurs twice in a
+anchor that two texts of a batch share asks nobody, a context that occurs twice in a
 batch asks once, and copies of a whole text are settled by their hashes.
 """
 
@@ -305,9 +305,9 @@ def unpacked(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def spread(x: np.ndarray) -> np.ndarray:
-    """Salts other than zero."""
+    """Well-mixed whole numbers."""
     mixed = x.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(44)).astype(np.int64) + 1
+    return ((mixed >> np.uint64(32)) ^ mixed).view(np.int64)
 
 
 def runs(*keys: np.ndarray) -> np.ndarray:
@@ -318,41 +318,104 @@ def runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, change]) if len(keys[0]) else np.zeros(0, dtype=np.int64)
 
 
-ASK = pa.schema([("h", pa.int64()), ("salt", pa.int64()), ("t", pa.int64()), ("at", pa.int64())])
+#: Bits of an anchor's hash that are sent: enough to keep strangers apart mostly.
+HASH_BITS = 48
+PARCEL = pa.schema([("part", pa.int32()), ("parcel", pa.binary())])
 
 
-def ask_anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Anchors (h) of texts (t). Salt zero asks whether another text has the anchor.
+def packed_numbers(x: np.ndarray) -> bytes:
+    """Whole numbers that are not negative, byte by byte: first all lowest bytes.
 
-    Where two texts of a batch share it, their anchors are repeated for sure: they go
-    on with salts of their own, and two witnesses (at -1) answer for them.
+    Only as many bytes as the largest needs.
     """
-    for batch in batches:
-        for part in byte_slices(batch, "data", 1 << 25):
-            texts = part.column("t").to_numpy()
-            found = list(text_anchors(part.column("data")))
-            row, place, before, strings, hashes = (np.concatenate(x) for x in zip(*found))
-            h, t, at = hashes.view(np.int64), texts[row], packed(place, before, strings)
-            order = np.lexsort((at, t, h))
-            h, t, at = h[order], t[order], at[order]
-            once = runs(h, t, at)
-            h, t, at = h[once], t[once], at[once]
-            start = runs(h)
-            if not len(start):
-                continue
-            low, high = np.minimum.reduceat(t, start), np.maximum.reduceat(t, start)
-            shared = low != high
-            repeated = np.repeat(shared, np.diff(np.r_[start, len(h)]))
-            salt = np.where(repeated, spread(t ^ at), 0)
-            w = start[shared]
-            none = np.zeros(len(w), dtype=np.int64)
-            columns = (
-                (h, h[w], h[w]),
-                (salt, none, none),
-                (t, low[shared], high[shared]),
-                (at, none - 1, none - 1),
-            )
-            yield record_batch([pa.array(np.concatenate(c)) for c in columns], ASK)
+    size = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+    low = np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T)
+    return len(x).to_bytes(4, "little") + bytes([size]) + low.tobytes()
+
+
+def unpacked_numbers(data: memoryview, at: int) -> tuple[np.ndarray, int]:
+    count, size = int.from_bytes(data[at : at + 4], "little"), data[at + 4]
+    end = at + 5 + count * size
+    out = np.zeros((count, 8), dtype=np.uint8)
+    out[:, :size] = np.frombuffer(data[at + 5 : end], np.uint8).reshape(size, count).T
+    return out.view("<u8").ravel().astype(np.uint64), end
+
+
+def parcel(kind: int, h: np.ndarray, t: np.ndarray, at: np.ndarray) -> bytes:
+    """Anchors in the order of their hashes, close together: hashes as differences,
+    texts by number in a table, places as they are."""
+    texts, number = np.unique(t.view(np.uint64), return_inverse=True)
+    lists = (
+        np.diff(h.view(np.uint64), prepend=np.uint64(0)),
+        np.diff(texts, prepend=np.uint64(0)),
+        number,
+        (at + 1).view(np.uint64),
+    )
+    return bytes([kind]) + b"".join(map(packed_numbers, lists))
+
+
+def opened(data: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    view, at, lists = memoryview(data), 1, []
+    for _ in range(4):
+        x, at = unpacked_numbers(view, at)
+        lists.append(x)
+    texts = np.cumsum(lists[1], dtype=np.uint64).view(np.int64)
+    h = np.cumsum(lists[0], dtype=np.uint64).view(np.int64)
+    return data[0], h, texts[lists[2].astype(np.int64)], lists[3].view(np.int64) - 1
+
+
+#: Kinds of parcels: anchors that ask for other texts, anchors known to be repeated.
+ASKING, KNOWN = 0, 1
+
+
+def ask_anchors(parts: int):
+    """Anchors of texts, parcelled by ranges of their hashes.
+
+    An anchor asks whether another text has it. Where two texts of a batch share one,
+    its places are repeated for sure: they go on as known, in parcels dealt out by text,
+    and two witnesses (at -1) answer for them.
+    """
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in byte_slices(batch, "data", 1 << 25):
+                texts = piece.column("t").to_numpy()
+                found = list(text_anchors(piece.column("data")))
+                row, place, before, strings, hashes = (np.concatenate(x) for x in zip(*found))
+                h = (hashes >> np.uint64(64 - HASH_BITS)).view(np.int64)
+                t, at = texts[row], packed(place, before, strings)
+                order = np.lexsort((at, t, h))
+                h, t, at = h[order], t[order], at[order]
+                once = runs(h, t, at)
+                h, t, at = h[once], t[once], at[once]
+                start = runs(h)
+                if not len(start):
+                    continue
+                low, high = np.minimum.reduceat(t, start), np.maximum.reduceat(t, start)
+                shared = low != high
+                known = np.repeat(shared, np.diff(np.r_[start, len(h)]))
+                w = start[shared]
+                none = np.full(len(w), -1)
+                ask_h = np.concatenate((h[~known], h[w], h[w]))
+                order = np.argsort(ask_h, kind="stable")
+                ask_t = np.concatenate((t[~known], low[shared], high[shared]))[order]
+                ask_at = np.concatenate((at[~known], none, none))[order]
+                yield parcels(ASKING, ask_h[order] >> 16, ask_h[order], ask_t, ask_at)
+                dealt = spread(t[known]) >> 32 & ((1 << HASH_BITS - 16) - 1)
+                order = np.argsort(dealt, kind="stable")
+                zero = np.zeros(len(order), dtype=np.int64)
+                yield parcels(KNOWN, dealt[order], zero, t[known][order], at[known][order])
+
+    def parcels(kind, key, h, t, at) -> pa.RecordBatch:
+        """Parcels of rows in the order of ``key``, cut into even ranges of it."""
+        cuts = [(i << HASH_BITS - 16) // parts for i in range(1, parts)]
+        ends = np.r_[0, np.searchsorted(key, cuts), len(key)]
+        part = [i for i in range(parts) if ends[i] < ends[i + 1]]
+        spans_ = [slice(ends[i], ends[i + 1]) for i in part]
+        data = [parcel(kind, h[x], t[x], at[x]) for x in spans_]
+        return record_batch([pa.array(part), pa.array(data, pa.binary())], PARCEL)
+
+    return run
 
 
 def byte_slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.RecordBatch]:
@@ -370,50 +433,65 @@ FLAGGED = pa.schema([("t", pa.int64()), ("at", pa.int64())])
 
 
 def repeated_anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The anchors that occur in two texts, of rows sorted by (h, salt, t, at).
+    """The anchors that occur in two texts, of parcels sorted by part.
 
-    Holds the rows of one anchor and one text at most.
+    Holds the parcels of one part; their number follows the shuffle partitions.
     """
-    held = np.zeros((4, 0), dtype=np.int64)
-    known = None  # an anchor that has been found repeated and may go on
+    held: list[bytes] = []
+    part = None
     for batch in batches:
-        new = np.stack([batch.column(c).to_numpy() for c in ASK.names])
-        rows = np.concatenate((held, new), axis=1)
-        last = rows[:, -1]
-        start = runs(rows[0], rows[1])
-        low, high = np.minimum.reduceat(rows[2], start), np.maximum.reduceat(rows[2], start)
-        repeated = (low != high) | (rows[1][start] != 0)
-        if known is not None:
-            repeated[0] |= known == rows[0, 0] and rows[1, 0] == 0
-        # The last anchor may go on in the next batch.
-        known = last[0] if repeated[-1] and last[1] == 0 else None
-        out = np.repeat(repeated, np.diff(np.r_[start, rows.shape[1]]))
-        held = rows[:, start[-1] :] if not repeated[-1] else rows[:, :0]
-        yield from flagged(rows[2:, out])
-
-
-def flagged(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-    rows = rows[:, rows[1] >= 0]
-    rows = rows[:, runs(*rows)]
-    yield record_batch([pa.array(r) for r in rows], FLAGGED)
+        for p, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if p != part and held:
+                yield from flagged(held)
+                held = []
+            part = p
+            held.append(data)
+    if held:
+        yield from flagged(held)
+
+
+def flagged(parcels: list[bytes]) -> Iterator[pa.RecordBatch]:
+    asking, known = [], []
+    for data in parcels:
+        kind, *columns = opened(data)
+        (asking if kind == ASKING else known).append(columns)
+    for _, t, at in known:
+        yield record_batch([pa.array(t), pa.array(at)], FLAGGED)
+    if not asking:
+        return
+    h, t, at = (np.concatenate(x) for x in zip(*asking))
+    order = np.lexsort((at, t, h))
+    h, t, at = h[order], t[order], at[order]
+    start = runs(h)
+    low, high = np.minimum.reduceat(t, start), np.maximum.reduceat(t, start)
+    repeated = np.repeat(low != high, np.diff(np.r_[start, len(h)])) & (at >= 0)
+    t, at = t[repeated], at[repeated]
+    yield record_batch([pa.array(t), pa.array(at)], FLAGGED)
 
 
 # -- contexts ---------------------------------------------------------------------------
 
 CONTEXT = pa.schema(
     [
-        ("h", pa.int64()), ("salt", pa.int64()), ("context", pa.binary()), ("t", pa.int64()),
-        ("u", pa.int64()), ("d", pa.int64()), ("start", pa.int64()), ("stop", pa.int64()),
+        ("h", pa.int64()), ("context", pa.binary()), ("k", pa.int32()), ("d", pa.int64()),
+        ("start", pa.int32()), ("stop", pa.int32()),
     ]
 )
-SPAN = pa.schema([(n, pa.int64()) for n in ("t", "u", "start", "stop")])
+SPAN = pa.schema(
+    [("k", pa.int32()), ("d", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())]
+)
+
+
+def short(t: np.ndarray) -> np.ndarray:
+    """Half of a text's hash: beside the id it tells the texts of one id apart."""
+    return (t & 0xFFFFFFFF).astype(np.uint32).view(np.int32)
 
 
 def ask_contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The strings around each repeated anchor. Salt zero asks which of them repeat.
+    """The strings around each repeated anchor, which ask which of them repeat.
 
     Where a batch has the same context in a document with a smaller id, all of it
-    is repeated; it goes on as a span with a salt of its own.
+    is repeated; it goes on as a span (context null), dealt out at random.
     """
     for batch in batches:
         for part in byte_slices(batch, "data", 1 << 24):
@@ -435,15 +513,15 @@ def ask_contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 bytes(view[a:z])
                 for a, z in zip((base + start).tolist(), (base + stop).tolist(), strict=True)
             ]
-            t, u, d = (part.column(c).to_numpy()[row] for c in ("t", "u", "d"))
+            t, d = (part.column(c).to_numpy()[row] for c in ("t", "d"))
             names = pa.array(cut, pa.binary()).dictionary_encode().indices.to_numpy()
             first = np.full(int(names.max()) + 1, LAST, dtype=np.int64)
             np.minimum.at(first, names, d)
             settled = first[names] < d
-            h = place_hashes(data, base + place)
-            salt = np.where(settled, spread(t ^ start), 0)
+            h = np.where(settled, spread(t ^ start), place_hashes(data, base + place))
             context = pa.array(cut, pa.binary(), mask=settled)
-            columns = (h, salt, context, t, u, d, start, stop)
+            stop = np.where(settled, stop, 0)
+            columns = (h, context, short(t), d, start.astype(np.int32), stop.astype(np.int32))
             columns = [c if isinstance(c, pa.Array) else pa.array(c) for c in columns]
             yield record_batch(columns, CONTEXT)
 
@@ -454,7 +532,7 @@ def place_hashes(data: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 
 def repeated_spans(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Byte spans of repeated strings, of contexts sorted by (h, salt).
+    """Byte spans of repeated strings, of contexts sorted by h.
 
     Anchors are completed, then all contexts of the completed ones are ordered.
     """
@@ -466,7 +544,7 @@ def repeated_spans(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         if rows < ROWS:
             continue
         table = pa.Table.from_batches(held).combine_chunks()
-        start = runs(*(table.column(c).to_numpy() for c in ("h", "salt")))
+        start = runs(table.column("h").to_numpy())
         done = int(start[-1])
         if done:
             yield from spans(table.slice(0, done))
@@ -484,7 +562,7 @@ def spans(table: pa.Table) -> Iterator[pa.RecordBatch]:
     asked = table.filter(pc.is_valid(table.column("context")))
     if not asked.num_rows:
         return
-    h, t, u, d, start = (asked.column(c).to_numpy() for c in ("h", "t", "u", "d", "start"))
+    h, k, d, start = (asked.column(c).to_numpy() for c in ("h", "k", "d", "start"))
     coded = pa.concat_arrays(asked.column("context").chunks).dictionary_encode()
     name = coded.indices.to_numpy()
     contexts = coded.dictionary
@@ -506,7 +584,7 @@ def spans(table: pa.Table) -> Iterator[pa.RecordBatch]:
     end = np.r_[begin[1:], len(owner)] - 1
     at = owner[begin]
     low, high = start[at] + inside[begin], start[at] + inside[end] + LENGTH
-    yield record_batch([pa.array(x) for x in (t[at], u[at], low, high)], SPAN)
+    yield record_batch([pa.array(x) for x in (k[at], d[at], low, high)], SPAN)
 
 
 def smallest_ids(
@@ -659,20 +737,23 @@ def remove_repeats(df: DataFrame, doc_id: str, text: str, content: bool = False)
     )
     docs = rows.withColumns({"t": text_hash(F.col("data"), 1), "u": text_hash(F.col("data"), 2)})
     classes = docs.groupBy("t", "u").agg(F.min("d").alias("first"))
-    asked = docs.select("t", "data").mapInArrow(ask_anchors, "h long, salt long, t long, at long")
-    met = asked.repartition("h", "salt").sortWithinPartitions("h", "salt", "t", "at")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = docs.select("t", "data").mapInArrow(ask_anchors(parts), "part int, parcel binary")
+    met = asked.repartition("part").sortWithinPartitions("part")
     found = met.mapInArrow(repeated_anchors, "t long, at long")
     per_text = found.groupBy("t").agg(F.collect_set("at").alias("at"))
     known = classes.join(per_text, "t").select("t", "u", "first", "at")
-    own = docs.drop("doc_id").join(known, ["t", "u"]).where("d = first")
-    schema = (
-        "h long, salt long, context binary, t long, u long, d long, start long, stop long"
+    # Both joins with the texts read all columns, so that one shuffle serves them.
+    own = docs.join(known, ["t", "u"]).where("d = first")
+    schema = "h long, context binary, k int, d long, start int, stop int"
+    contexts = own.select("t", "u", "d", "data", "at", "doc_id").mapInArrow(ask_contexts, schema)
+    keyed = contexts.repartition("h").sortWithinPartitions("h")
+    removed = keyed.mapInArrow(repeated_spans, "k int, d long, start int, stop int")
+    removed = removed.groupBy("k", F.col("d").alias("first")).agg(
+        F.collect_list(F.struct("start", "stop")).alias("spans")
     )
-    contexts = own.select("t", "u", "d", "data", "at").mapInArrow(ask_contexts, schema)
-    keyed = contexts.repartition("h", "salt").sortWithinPartitions("h", "salt")
-    removed = keyed.mapInArrow(repeated_spans, "t long, u long, start long, stop long")
-    removed = removed.groupBy("t", "u").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-    verdicts = classes.join(removed, ["t", "u"], "left")
+    half = F.expr("cast(if(t & 4294967295 > 2147483647, (t & 4294967295) - 4294967296, t & 4294967295) as int)")
+    verdicts = classes.withColumn("k", half).join(removed, ["k", "first"], "left").drop("k")
     judged = docs.join(verdicts, ["t", "u"]).select(
         "doc_id", "data", (F.col("first") < F.col("d")).alias("copy"), "spans"
     )
