@@ -135,25 +135,30 @@ def fit(df: DataFrame, doc_id: str, text: str, labels: DataFrame, columns: tuple
 
     counted = df.select(df[doc_id], df[text]).mapInArrow(count, "bucket long, raw long, target long")
     sums = counted.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
-    sums = sums.toPandas()
+    sums = saved(sums, "counts")
     targets.unpersist()
-    return Model(ratios(*(sums[c].to_numpy(np.int64) for c in ("bucket", "raw", "target"))), share)
+    return Model(ratios(sums), share)
 
 
 def counts_batch(*columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["bucket", "raw", "target"])
 
 
-def ratios(bucket: np.ndarray, raw: np.ndarray, target: np.ndarray) -> np.ndarray:
-    """The log ratio of each bucket, zero without evidence."""
+def ratios(sums: DataFrame) -> np.ndarray:
+    """The log ratio of each bucket, zero without evidence.
+
+    ``sums`` has ``bucket, raw, target`` and the numbers of rows at bucket -1. Only
+    buckets with evidence come to the driver.
+    """
     out = np.zeros(1 << BUCKET_BITS, dtype=np.float32)
-    own = bucket >= 0
-    n_raw, n_target = int(raw[~own].sum()), int(target[~own].sum())
-    if n_target:
-        expected = raw[own] * (n_target / n_raw)
-        ratio = np.log((target[own] + SMOOTHING) / (expected + SMOOTHING))
-        errors = np.abs(target[own] - expected) / np.sqrt(expected + SMOOTHING)
-        out[bucket[own]] = np.where(errors >= EVIDENCE, ratio, 0)
+    rows = sums.where("bucket < 0").first()
+    if rows and rows.target:
+        expected = F.col("raw") * (rows.target / rows.raw)
+        ratio = F.log((F.col("target") + SMOOTHING) / (expected + SMOOTHING))
+        errors = F.abs(F.col("target") - expected) / F.sqrt(expected + SMOOTHING)
+        found = sums.where("bucket >= 0").where(errors >= EVIDENCE)
+        found = found.select("bucket", ratio.alias("ratio")).toPandas()
+        out[found["bucket"].to_numpy(np.int64)] = found["ratio"].to_numpy()
     return out
 
 

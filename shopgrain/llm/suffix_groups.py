@@ -744,7 +744,8 @@ def remove_repeats(df: DataFrame, doc_id: str, text: str, content: bool = False)
     per_text = found.groupBy("t").agg(F.collect_set("at").alias("at"))
     known = classes.join(per_text, "t").select("t", "u", "first", "at")
     # Both joins with the texts read all columns, so that one shuffle serves them.
-    own = docs.join(known, ["t", "u"]).where("d = first")
+    # No id is below the first of its texts; an equality would become a key of the join.
+    own = docs.join(known, ["t", "u"]).where("d <= first")
     schema = "h long, context binary, k int, d long, start int, stop int"
     contexts = own.select("t", "u", "d", "data", "at", "doc_id").mapInArrow(ask_contexts, schema)
     keyed = contexts.repartition("h").sortWithinPartitions("h")

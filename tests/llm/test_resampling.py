@@ -33,12 +33,14 @@ def test_features_are_distinct_buckets():
     assert f("Word, word").tolist() == f("word,   WORD").tolist()
 
 
-def test_ratios_need_evidence():
-    bucket = np.array([-1, 5, 6, 7])
-    out = ratios(bucket, np.array([1000, 400, 4, 300]), np.array([500, 0, 0, 150]))
+def test_ratios_need_evidence(spark):
+    schema = "bucket long, raw long, target long"
+    rows = [(-1, 1000, 500), (5, 400, 0), (6, 4, 0), (7, 300, 150)]
+    out = ratios(spark.createDataFrame(rows, schema))
     assert out[5] < -5 and out[6] == 0 and out[7] == 0
-    assert not ratios(bucket, np.array([10, 4, 4, 3]), np.array([0, 0, 0, 0])).any()
-    assert not ratios(np.zeros(0, int), np.zeros(0, int), np.zeros(0, int)).any()
+    none = [(-1, 10, 0), (5, 4, 0)]
+    assert not ratios(spark.createDataFrame(none, schema)).any()
+    assert not ratios(spark.createDataFrame([], schema)).any()
 
 
 def test_places_keep_the_order_of_doubles():
