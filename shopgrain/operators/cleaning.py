@@ -32,7 +32,7 @@ from ..functions.columns import (
 )
 from ..functions.contact import accepted_phone, valid_email, written_phone
 from ..functions.dates import parse_date
-from .quantiles import exact_median
+from .quantiles import exact_medians
 
 # Names of the imputation methods and of the negative-value rules.
 COMPUTED_FILLS = ("mean", "median", "mode")
@@ -66,15 +66,22 @@ def remove_duplicates(
     first = [c for c in (order_by or ()) if c not in columns]
     ranked = first + [c for c in others if c not in first]
     pick = F.min if keep == "first" else F.max
-    row = pick(F.struct(*[named(c) for c in ranked])).alias("_survivor")
-    survivors = df.groupBy(*[named(c) for c in columns]).agg(row)
-    return survivors.select(
-        *[
-            named(c) if c in columns else F.col("_survivor").getField(c).alias(c)
-            for c in df.columns
-        ]
+    # Maps have no order of their own; their sorted entries have.
+    maps = {c for c in others if isinstance(type_of(df, c), T.MapType)}
+    fields = [
+        F.sort_array(F.map_entries(named(c))).alias(c) if c in maps else named(c)
+        for c in ranked
+    ]
+    survivors = df.groupBy(*[named(c) for c in columns]).agg(
+        pick(F.struct(*fields)).alias("_survivor")
     )
 
+    def field(c: str) -> Column:
+        value = F.col("_survivor").getField(c)
+        return (F.map_from_entries(value) if c in maps else value).alias(c)
+
+    return survivors.select(*[named(c) if c in columns else field(c) for c in df.columns])
+
 
 def impute_nulls(
     df: DataFrame,
@@ -147,9 +154,10 @@ def _fill(
     if method == "constant":
         fills = dict.fromkeys(columns, F.lit(value))
     elif method == "median" and exact:
-        fills = {c: F.lit(exact_median(df, c)) for c in columns}
+        fills = {c: F.lit(v) for c, v in exact_medians(df, columns).items()}
     elif method == "mode":
-        fills = {c: _most_frequent(df, c).scalar() for c in columns}
+        filled = df.withColumn("_fills", _most_frequent(df, columns).scalar())
+        fills = {c: F.col("_fills").getField(f"fill_{i}") for i, c in enumerate(columns)}
     else:
         # One pass for all columns; the one-row answer enters the plan as a scalar
         # subquery, which runs once and is not a join.
@@ -172,19 +180,33 @@ def _fill(
     ).drop("_fills")
 
 
-def _most_frequent(df: DataFrame, name: str) -> DataFrame:
-    """The most frequent value, the smallest on ties, as one row.
+def _most_frequent(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The most frequent value of each column, the smallest on ties, as one struct.
 
-    Counting per value first keeps the hot value to one row per map task and never
-    gathers the distinct values in one place.
+    One aggregate counts the values of all columns. Counting per value first keeps
+    a hot value to one row per map task and never gathers the distinct values.
     """
+    numbers = range(len(columns))
+    entries = [
+        F.struct(
+            F.lit(i).alias("i"),
+            *[
+                (named(c) if i == k else F.lit(None).cast(type_of(df, c))).alias(f"v{k}")
+                for k, c in enumerate(columns)
+            ],
+            (~is_null_or_nan(df, columns[i])).alias("known"),
+        )
+        for i in numbers
+    ]
     counts = (
-        df.where(~is_null_or_nan(df, name))
-        .groupBy(named(name).alias("value"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        df.select(F.inline(F.array(*entries)))
+        .where("known")
+        .groupBy("i", *[f"v{k}" for k in numbers])
+        .agg((-F.count(F.lit(1))).alias("n"))
     )
-    best = F.min(F.struct((-F.col("n")).alias("n"), F.col("value")))
-    return counts.agg(best.alias("best")).select(F.col("best").getField("value"))
+    best = [F.min(F.when(F.col("i") == k, F.struct("n", f"v{k}"))) for k in numbers]
+    fills = [b.getField(f"v{k}").alias(f"fill_{k}") for k, b in enumerate(best)]
+    return counts.agg(F.struct(*fills).alias("fills"))
 
 
 def _nan_to_null(df: DataFrame, name: str) -> Column:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import named, numeric, require_columns
-from .sales import total_revenue_by_product
+from .sales import _sum_by as sum_by
 
 # Status names and the default thresholds.
 IN_STOCK = "In stock"
@@ -55,18 +55,29 @@ def inventory_status(
     inventory_below: int = INVENTORY_BELOW,
     zero_first: bool = False,
 ) -> DataFrame:
-    """Inventory, revenue and status of every product that was sold."""
-    require_columns(products, [product_id_col, product_name_col, inventory_col])
-    revenue = total_revenue_by_product(
-        order_items, products, product_id_col, quantity_col, price_col, product_name_col
-    ).select(named(product_id_col), "total_revenue")
+    """Inventory, revenue and status of every product that was sold.
+
+    Catalogue rows are joined once. An id with several names has the revenue of each
+    name beside each of its rows.
+    """
+    require_columns(order_items, [product_id_col, quantity_col])
+    require_columns(products, [product_id_col, product_name_col, price_col, inventory_col])
+    quantity = numeric(order_items, quantity_col)
+    sold = sum_by(order_items, [product_id_col], quantity, "quantity_sold")
     stock = products.select(
-        named(product_id_col).alias("product_id"),
+        named(product_id_col),
         named(product_name_col).alias("product_name"),
         numeric(products, inventory_col).alias("inventory"),
+        numeric(products, price_col).alias("catalogue_price"),
     )
-    joined = stock.join(
-        revenue.withColumnRenamed(product_id_col, "product_id"), "product_id"
+    per_row = F.col("catalogue_price") * F.col("quantity_sold")
+    by_id = Window.partitionBy("product_id")
+    joined = (
+        sold.join(stock, product_id_col)
+        .withColumnRenamed(product_id_col, "product_id")
+        .withColumn("revenue", F.sum(per_row).over(Window.partitionBy("product_id", "product_name")))
+        .withColumn("names", F.collect_set(F.struct("product_name", "revenue")).over(by_id))
+        .select("product_id", "product_name", "inventory", F.explode("names.revenue").alias("total_revenue"))
     )
     status = stock_status(
         F.col("total_revenue"),

@@ -53,13 +53,18 @@ def yearly_product_trends(
         .groupBy(named(product_name_col), "year")
         .agg(F.sum("quantity_sold").alias("quantity_sold"))
     )
-    # One row per product; its map has one entry per calendar year.
-    entry = F.struct("year", "quantity_sold")
     per_name = per_year.groupBy(named(product_name_col)).agg(
-        F.sum("quantity_sold").alias("total_quantity_sold"),
-        F.map_from_entries(F.collect_list(entry)).alias("by_year"),
+        F.sum("quantity_sold").alias("total_quantity_sold")
+    )
+    top = best_rows(per_name, "total_quantity_sold", top_n, [product_name_col])
+    top = top.select(named(product_name_col).alias("_top"))
+    # One row per top product; its map has one entry per calendar year.
+    entry = F.struct("year", "quantity_sold")
+    best = (
+        per_year.join(top, named(product_name_col).eqNullSafe(F.col("_top")), "left_semi")
+        .groupBy(named(product_name_col))
+        .agg(F.map_from_entries(F.collect_list(entry)).alias("by_year"))
     )
-    best = best_rows(per_name, "total_quantity_sold", top_n, [product_name_col])
     # This window sees only the top rows.
     seen = F.collect_list(F.map_keys("by_year")).over(Window.partitionBy(F.lit(0)))
     years = F.array_distinct(F.flatten(seen))

@@ -10,42 +10,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import named, require_columns
+from ..saving import saved
 from .cleaning import remove_duplicates
 
-# Times a key may be sent to the join that looks for replaced rows.
-SALTS = 32
-
-
 def upsert_by_key(
     target: DataFrame, source: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
     """The target with source rows added, replacing target rows of the same key.
 
-    Source rows are made unique by key first. A null key matches nothing, so such
-    rows of both sides stay, as in a SQL ``MERGE``. The target is filtered by an
-    anti join on the keys alone: Spark broadcasts a small source by its size, and
-    then the target is not shuffled.
+    Source rows are made unique by key first, once: the result is written to the
+    working folder and serves both the join and the rows that are added. A null key
+    matches nothing, so such rows of both sides stay, as in a SQL ``MERGE``; they go
+    around the join. The anti join has a shuffle right below it on both sides, the
+    form whose hot target keys AQE splits; Spark broadcasts a small source by its size.
     """
     if not keys:
         raise ValueError("an upsert needs at least one key column")
     require_columns(target, [*keys, *source.columns])
     require_columns(source, [*keys, *target.columns])
-    kept = target.join(_replaced_keys(source, keys), list(keys), "left_anti")
-    ordered = kept.select(*[named(c) for c in target.columns])
-    return ordered.unionByName(unique_by_key(source, keys))
-
-
-def _replaced_keys(source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The keys of the source, a hot one at most ``SALTS`` times.
-
-    The salt keeps these rows from being partitioned by the key alone. So the join
-    shuffles both of its sides itself, which is the form whose hot target keys (a
-    third of the target without a key, say) AQE splits. Which copies remain does
-    not matter to an anti join.
-    """
-    salt = F.spark_partition_id() % SALTS
-    key_columns = [named(k) for k in keys]
-    return source.select(*key_columns, salt.alias("_salt")).distinct().drop("_salt")
+    columns = [named(c) for c in target.columns]
+    unnamed = _any_null(keys)
+    unique = saved(remove_duplicates(source.where(~unnamed), keys), "source")
+    replaced = unique.select(*[named(k) for k in keys])
+    kept = target.where(~unnamed).join(replaced, list(keys), "left_anti").select(*columns)
+    around = target.where(unnamed).unionByName(source.where(unnamed))
+    return kept.unionByName(unique).unionByName(around)
 
 
 def unique_by_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -36,7 +36,11 @@ class Rejected:
 
 @dataclass(frozen=True)
 class CleaningResult:
-    """Cleaned tables with what is needed to report on the cleaning; all lazy."""
+    """Cleaned tables with what is needed to report on the cleaning; all lazy.
+
+    Profiles and rejected rows are written to the working folder when first asked for,
+    so that reports and archives do not run the chains again.
+    """
 
     source: Mapping[str, DataFrame]
     tables: dict[str, DataFrame]
@@ -44,11 +48,11 @@ class CleaningResult:
 
     @cached_property
     def profile_before(self) -> DataFrame:
-        return profile_tables(self.source)
+        return saved(profile_tables(self.source), "before")
 
     @cached_property
     def profile_after(self) -> DataFrame:
-        return profile_tables(self.tables)
+        return saved(profile_tables(self.tables), "after")
 
     @cached_property
     def changes(self) -> DataFrame:
@@ -65,8 +69,11 @@ class CleaningResult:
         written = []
         for parts in self.rejected.values():
             for part in parts:
-                if part.path is not None and not part.rows.isEmpty():
-                    write_archive(part.rows, part.path, single_file)
+                if part.path is None:
+                    continue
+                rows = saved(part.rows, "rejected")
+                if not rows.isEmpty():
+                    write_archive(rows, part.path, single_file)
                     written.append(part.path)
         return written
 

@@ -1,36 +1,5 @@
 """Cut a long plan by writing its result to the cluster's shared folder."""
 
-from __future__ import annotations
+from ..saving import SETTING, new_folder, saved, shared_folder
 
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-SETTING = "spark.checkpoint.dir"
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as the session's settings name it.
-
-    Where no checkpoint folder is set, the session's own warehouse folder serves.
-    """
-    context = spark.sparkContext
-    folder = context.getConf().get(SETTING) or context.getCheckpointDir()
-    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
-
-
-def new_folder(spark: SparkSession) -> str:
-    """A new folder for working files, below one that can be removed per application."""
-    application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/shopgrain-{application}/{uuid.uuid4().hex}"
-
-
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet and read it back.
-
-    The copy survives lost executors, and readers of it skip unused columns.
-    """
-    spark = df.sparkSession
-    path = f"{new_folder(spark)}/{name}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+__all__ = ["SETTING", "new_folder", "saved", "shared_folder"]

@@ -7,13 +7,14 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..saving import saved
 from .database import upsert_jdbc
 from .dialects import Dialect
 from .warehouse import Warehouse
 
 log = logging.getLogger(__name__)
 
-STATUS_SCHEMA = "table_name string, action string, error string"
+STATUS_SCHEMA = "table_name string, action string, rows bigint, error string"
 
 # Loads one table by its keys and says what was done.
 LoadTable = Callable[[DataFrame, str, Sequence[str]], str]
@@ -52,21 +53,24 @@ def upsert_all(
     """Give every table with its keys to ``load`` and return one status per table.
 
     Missing keys raise before anything is written. Empty tables are skipped, and a
-    failed table does not stop the others: its error is in the status.
+    failed table does not stop the others: its error is in the status. Each table is
+    written to the working folder first, so its chain runs once for the count and the load.
     """
     unkeyed = [name for name in dataset if not keys.get(name)]
     if unkeyed:
         raise ValueError(f"no key columns are given for tables {unkeyed}")
     statuses = []
     for name, df in dataset.items():
-        if df is None or df.isEmpty():
-            statuses.append((name, "skipped", None))
-            continue
         given = keys[name]
         columns = [given] if isinstance(given, str) else list(given)
+        rows = 0
         try:
-            statuses.append((name, load(df, name, columns), None))
+            if df is not None:
+                df = saved(df, name)
+                rows = df.count()
+            action = load(df, name, columns) if rows else "skipped"
+            statuses.append((name, action, rows, None))
         except Exception as e:
             log.error("loading %s failed: %s", name, e)
-            statuses.append((name, "failed", str(e)))
+            statuses.append((name, "failed", rows, str(e)))
     return spark.createDataFrame(statuses, STATUS_SCHEMA)

@@ -93,7 +93,8 @@ def load_dataset(
 
 
 def _table_paths(manifest: DataFrame, uri: str) -> list[str]:
-    """One path per table: below ``uri``, the outermost name with an extension.
+    """One path per table: ``uri`` itself if it is a table directory, with its rows in
+    part files; else below it the outermost name with an extension, in any case.
 
     Part files are folded into their directory by Spark; the driver receives one
     path per table, which it needs to name the tables.
@@ -102,7 +103,12 @@ def _table_paths(manifest: DataFrame, uri: str) -> list[str]:
     below = F.instr("path", root) + F.lit(len(root))
     within = F.substr("path", below)
     extensions = "|".join(READ_EXTENSIONS)
-    directory = F.regexp_extract(within, rf"^(.*?\.(?:{extensions}))/", 1)
+    if _extension(root) in READ_EXTENSIONS:
+        part = within.rlike(r"^/([^/=]+=[^/]*/)*part-[^/]*$")
+        kinds = manifest.agg(F.count("*").alias("n"), F.count_if(part).alias("parts")).first()
+        if kinds.n and kinds.n == kinds.parts:
+            return [uri.rstrip("/")]
+    directory = F.regexp_extract(within, rf"(?i)^(.*?\.(?:{extensions}))/", 1)
     table = F.when(
         directory != "",
         F.concat(F.substr("path", F.lit(1), below - 1), directory),

@@ -478,7 +478,12 @@ CLEANING = {
         "remove_decimal": {"columns": ["order_id", "customer_id", "total_amount"]},
         "handle_negative_values": {"columns": ["total_amount"]},
         "impute_nulls": {
-            "columns": ["shipping_address", "billing_address", "customer_id"],
+            "columns": [
+                "customer_id",
+                "total_amount",
+                "shipping_address",
+                "billing_address",
+            ],
             **FILL,
         },
         "drop_nulls": {"columns": ["order_id"]},
@@ -487,32 +492,44 @@ CLEANING = {
             "columns": ["shipping_address", "billing_address"],
             "string_to_remove": "\\n",
         },
-        "convert_column_type": [{"column": "order_date", "target_type": "date"}],
+        "convert_column_type": [
+            {"column": "order_id", "target_type": "long"},
+            {"column": "customer_id", "target_type": "long"},
+            {"column": "order_date", "target_type": "date"},
+        ],
     },
     "product": {
         "remove_duplicates": {"columns": ["product_id"]},
         "remove_decimal": {"columns": ["product_id", "inventory"]},
-        "handle_negative_values": {"columns": ["product_id", "price"]},
-        "impute_nulls": {"columns": ["product_name", "category"], **FILL},
+        "handle_negative_values": {"columns": ["product_id", "price", "inventory"]},
+        "impute_nulls": {"columns": ["product_name", "category", "description"], **FILL},
         "drop_nulls": {"columns": ["product_id"]},
         "remove_string_from_columns": {
             "columns": ["description"],
             "string_to_remove": "\\n",
         },
-        "convert_column_type": [{"column": "inventory", "target_type": "int"}],
+        "convert_column_type": [
+            {"column": "product_id", "target_type": "long"},
+            {"column": "inventory", "target_type": "int"},
+        ],
     },
     "order_item": {
         "remove_duplicates": {"columns": ["order_item_id"]},
         "handle_negative_values": {
-            "columns": ["quantity", "product_id", "order_item_id"]
+            "columns": ["order_item_id", "order_id", "product_id", "quantity", "price"]
         },
-        "impute_nulls": {"columns": ["quantity"], **FILL},
+        "impute_nulls": {"columns": ["order_id", "product_id", "quantity"], **FILL},
         "drop_nulls": {"columns": ["order_item_id"]},
     },
     "review": {
         "remove_duplicates": {"columns": ["review_id"]},
-        "handle_negative_values": {"columns": ["product_id"]},
-        "impute_nulls": {"columns": ["review_text"], **FILL},
+        "handle_negative_values": {
+            "columns": ["review_id", "product_id", "customer_id", "rating"]
+        },
+        "impute_nulls": {
+            "columns": ["product_id", "customer_id", "rating", "review_text"],
+            **FILL,
+        },
         "drop_nulls": {"columns": ["review_id"]},
         "remove_string_from_columns": {
             "columns": ["review_text"],
@@ -534,24 +551,22 @@ TRANSFORMS = {
 }
 
 
-def repeated_customers(spark: SparkSession, d: str) -> DataFrame:
-    """Raw customers, each once more under another first name."""
-    raw = _raw(spark, d)
-    return raw.unionByName(raw.withColumn("first_name", F.lit("Zed")))
-
-
+# The view of each raw table, and the column in which its repeated rows differ. Keys
+# of order items repeat by themselves.
 RAW_VIEWS = {
-    "orders": "raw_order",
-    "product": "raw_product",
-    "order_item": "raw_order_item",
-    "review": "raw_review",
+    "customer": ("raw_customer", "first_name"),
+    "orders": ("raw_order", "shipping_address"),
+    "product": ("raw_product", "product_name"),
+    "order_item": ("raw_order_item", None),
+    "review": ("raw_review", "review_text"),
 }
 
 
 def raw_table(spark: SparkSession, d: str, name: str) -> DataFrame:
-    if name == "customer":
-        return repeated_customers(spark, d)
-    return view(spark, d, RAW_VIEWS[name])
+    """Raw rows, each once more under the same key."""
+    source, column = RAW_VIEWS[name]
+    raw = view(spark, d, source)
+    return raw.unionByName(raw.withColumn(column, F.lit("Zed"))) if column else raw
 
 
 def raw_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
@@ -562,8 +577,10 @@ def cleaned(spark: SparkSession, d: str, name: str) -> DataFrame:
     return run_cleaning({name: raw_table(spark, d, name)}, CLEANING).tables[name]
 
 
-REPEATED_SQL = f"""(SELECT * FROM raw_customer UNION ALL
-    SELECT {replaced('raw_customer', first_name="'Zed'")} FROM raw_customer)"""
+def repeated_sql(name: str) -> str:
+    source, column = RAW_VIEWS[name]
+    again = replaced(source, **{column: "'Zed'"})
+    return f"(SELECT * FROM {source} UNION ALL SELECT {again} FROM {source})"
 
 
 def first_by_key(source: str, view_name: str, key: str) -> str:
@@ -583,7 +600,7 @@ CUSTOMER_SQL = f"""SELECT CAST(floor(customer_id) AS BIGINT) AS customer_id,
     TRY_CAST({DATE_SQL.format(c='birth_date')} AS DATE) AS birth_date,
     CAST(CAST(abs(floor(zip_code)) AS BIGINT) AS VARCHAR) AS zip_code,
     CAST(balance AS DOUBLE) AS balance, nation
-    FROM {first_by_key(REPEATED_SQL, 'raw_customer', 'customer_id')}
+    FROM {first_by_key(repeated_sql('customer'), 'raw_customer', 'customer_id')}
     WHERE last_name NOT IN ('null', 'None', '')"""
 
 
@@ -602,7 +619,8 @@ ORDERS_SQL = f"""SELECT CAST(floor(order_id) AS BIGINT) AS order_id,
     TRY_CAST({DATE_SQL.format(c='order_date')} AS DATE) AS order_date,
     CAST(abs(floor(total_amount)) AS BIGINT) AS total_amount,
     {_address('shipping_address')} AS shipping_address,
-    {_address('billing_address')} AS billing_address FROM raw_order"""
+    {_address('billing_address')} AS billing_address
+    FROM {first_by_key(repeated_sql('orders'), 'raw_order', 'order_id')}"""
 
 
 @query("c23_clean_orders", ORDERS_SQL)
@@ -612,11 +630,12 @@ def c23_orders(spark, d):
 
 @query(
     "c23_clean_products",
-    """SELECT CAST(abs(floor(product_id)) AS BIGINT) AS product_id,
+    f"""SELECT CAST(abs(floor(product_id)) AS BIGINT) AS product_id,
     coalesce(nullif(product_name, 'null'), 'Not Available') AS product_name,
     coalesce(category, 'Not Available') AS category,
-    replace(description, chr(10), '') AS description, abs(price) AS price,
-    CAST(floor(inventory) AS INT) AS inventory FROM raw_product""",
+    replace(coalesce(nullif(description, 'null'), 'Not Available'), chr(10), '')
+    AS description, abs(price) AS price, CAST(abs(floor(inventory)) AS INT) AS inventory
+    FROM {first_by_key(repeated_sql('product'), 'raw_product', 'product_id')}""",
 )
 def c23_products(spark, d):
     return cleaned(spark, d, "product")
@@ -624,8 +643,8 @@ def c23_products(spark, d):
 
 @query(
     "c23_clean_order_items",
-    f"""SELECT abs(order_item_id) AS order_item_id, order_id,
-    abs(product_id) AS product_id, abs(quantity) AS quantity, price
+    f"""SELECT abs(order_item_id) AS order_item_id, abs(order_id) AS order_id,
+    abs(product_id) AS product_id, abs(quantity) AS quantity, abs(price) AS price
     FROM {first_by_key('raw_order_item', 'raw_order_item', 'order_item_id')}""",
 )
 def c23_order_items(spark, d):
@@ -634,11 +653,12 @@ def c23_order_items(spark, d):
 
 @query(
     "c23_clean_reviews",
-    f"""SELECT review_id, abs(product_id) AS product_id, customer_id,
-    CAST(rating AS BIGINT) AS rating,
+    f"""SELECT abs(review_id) AS review_id, abs(product_id) AS product_id,
+    abs(customer_id) AS customer_id, CAST(abs(rating) AS BIGINT) AS rating,
     replace(coalesce(nullif(review_text, 'null'), 'Not Available'), chr(10), '')
     AS review_text, TRY_CAST({DATE_SQL.format(c='review_date')} AS DATE) AS review_date
-    FROM raw_review WHERE review_id IS NOT NULL""",
+    FROM {first_by_key(repeated_sql('review'), 'raw_review', 'review_id')}
+    WHERE review_id IS NOT NULL""",
 )
 def c23_reviews(spark, d):
     return cleaned(spark, d, "review")

@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import io
-import tempfile
-import uuid
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shopgrain.plans import run_cleaning
-from shopgrain.plans.saving import SETTING
+from shopgrain.plans import run_cleaning, select_tables
+from shopgrain.plans.saving import new_folder
 from shopgrain.sinks import create_table
 from shopgrain.sources import (
     flatten_arrays,
     list_files,
     load_dataset,
+    load_file,
     sheet_columns,
     sheet_table,
     workbook_cells,
@@ -27,17 +28,6 @@ from .views import table, view
 from .workbooks import write_workbook
 
 
-def scratch(spark: SparkSession) -> str:
-    """A new folder in the one that executors share; a local one on one machine."""
-    context = spark.sparkContext
-    shared = context.getConf().get(SETTING) or context.getCheckpointDir()
-    if not shared:
-        if not context.master.startswith("local"):
-            raise ValueError(f"{SETTING} is not set; it must name a shared folder")
-        shared = tempfile.mkdtemp(prefix="shopgrain-")
-    return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 CUSTOMERS = """SELECT CAST(c_custkey AS BIGINT) AS c_custkey, c_name, c_acctbal,
     c_mktsegment FROM customer"""
 
@@ -50,8 +40,16 @@ def _customers(spark: SparkSession, d: str) -> DataFrame:
 
 @query("s02_load_folder", CUSTOMERS)
 def s02(spark, d):
+    """The given folder, every file of it a table."""
+    return load_dataset(spark, d).tables["df_customer"].select(
+        "c_custkey", "c_name", "c_acctbal", "c_mktsegment"
+    )
+
+
+@query("s02b_load_formats", CUSTOMERS)
+def s02b(spark, d):
     """A folder of three formats; each row comes from the format of its columns."""
-    folder, customers = scratch(spark), _customers(spark, d)
+    folder, customers = new_folder(spark), _customers(spark, d)
     customers.select("c_custkey", "c_name").write.parquet(f"{folder}/names.parquet")
     customers.select("c_custkey", "c_acctbal").write.json(f"{folder}/balances.json")
     customers.select("c_custkey", "c_mktsegment").write.csv(
@@ -65,20 +63,54 @@ def s02(spark, d):
     )
 
 
+@query("s09_skip_empty_and_select", CUSTOMERS)
+def s09(spark, d):
+    """An empty table is left out, the others are picked by name without a prefix."""
+    folder, customers = new_folder(spark), _customers(spark, d)
+    customers.write.parquet(f"{folder}/data_customer.parquet")
+    customers.limit(0).write.parquet(f"{folder}/data_empty.parquet")
+    loaded = load_dataset(spark, folder).tables
+    names = [n.removeprefix("df_data_") for n in loaded]
+    return select_tables(loaded, names, "df_data_")["customer"]
+
+
+@query(
+    "s05b_multiline_json",
+    """SELECT CAST(r_regionkey AS BIGINT) AS r_regionkey, r_name, n_name
+    FROM region JOIN nation ON n_regionkey = r_regionkey""",
+)
+def s05b(spark, d):
+    """One document per region over many lines, its nations in an array."""
+    folder = new_folder(spark)
+    nations = (
+        table(spark, d, "nation")
+        .groupBy("n_regionkey")
+        .agg(F.collect_list(F.struct("n_name")).alias("nations"))
+    )
+    documents = table(spark, d, "region").join(
+        nations, F.col("n_regionkey") == F.col("r_regionkey")
+    )
+    pretty = F.to_json(F.struct("r_regionkey", "r_name", "nations"), {"pretty": "true"})
+    written = documents.select(pretty.alias("value"))
+    written.write.option("maxRecordsPerFile", 1).text(f"{folder}/regions.json")
+    loaded = load_dataset(spark, folder).tables["df_regions"]
+    return loaded.select("r_regionkey", "r_name", F.explode("nations.n_name").alias("n_name"))
+
+
 @query(
     "s04_csv_scan",
     """SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_acctbal, c_mktsegment
     FROM customer""",
 )
 def s04(spark, d):
-    folder = scratch(spark)
+    folder = new_folder(spark)
     _customers(spark, d).write.csv(f"{folder}/customers.csv", header=True)
     return load_dataset(spark, folder).tables["df_customers"]
 
 
 @query("s04b_csv_scan_with_schema", CUSTOMERS)
 def s04b(spark, d):
-    folder, customers = scratch(spark), _customers(spark, d)
+    folder, customers = new_folder(spark), _customers(spark, d)
     customers.write.csv(f"{folder}/customers.csv", header=True)
     schemas = {"df_customers": customers.schema}
     return load_dataset(spark, folder, schemas).tables["df_customers"]
@@ -86,7 +118,7 @@ def s04b(spark, d):
 
 @query("s05_json_scan", CUSTOMERS)
 def s05(spark, d):
-    folder = scratch(spark)
+    folder = new_folder(spark)
     _customers(spark, d).write.json(f"{folder}/customers.json")
     loaded = load_dataset(spark, folder, multiline=False).tables["df_customers"]
     return loaded.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
@@ -132,23 +164,34 @@ def s08(spark, d):
 
 @query("s07_parquet_scan", CUSTOMERS)
 def s07(spark, d):
-    folder = scratch(spark)
-    _customers(spark, d).write.parquet(f"{folder}/customers.parquet")
-    return load_dataset(spark, folder).tables["df_customers"]
+    return load_file(spark, f"{d}/customer.parquet")["df_customer"].select(
+        "c_custkey", "c_name", "c_acctbal", "c_mktsegment"
+    )
+
+
+LISTED = ("customer", "orders", "part", "lineitem", "events", "supplier", "nation", "region")
 
 
 @query(
     "s01_list_files",
-    """SELECT unnest(['customer.parquet', 'orders.parquet', 'part.parquet',
-    'lineitem.parquet', 'events.parquet', 'supplier.parquet', 'nation.parquet',
-    'region.parquet', 'documents.parquet', 'embeddings.parquet', 'pages.parquet',
-    'benchmark.parquet', 'labels.parquet', 'conversations.parquet']) AS file,
-    true AS has_bytes""",
+    " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n FROM {t}" for t in LISTED),
 )
 def s01(spark, d):
-    return list_files(spark, d).selectExpr(
-        "substring_index(path, '/', -1) AS file", "length > 0 AS has_bytes"
-    )
+    """Rows of each table, by joining the listing with the files that rows come from."""
+
+    def plain(path):
+        return F.regexp_replace(path, "^([A-Za-z0-9+.-]+):/+", "$1:/")
+
+    listed = list_files(spark, d).where("length > 0").select(plain("path").alias("path"))
+    counts = [
+        table(spark, d, t)
+        .groupBy(plain("_metadata.file_path").alias("path"))
+        .count()
+        .withColumn("name", F.lit(t))
+        for t in LISTED
+    ]
+    rows = reduce(DataFrame.unionByName, counts)
+    return listed.join(rows, "path").groupBy("name").agg(F.sum("count").alias("n"))
 
 
 ARCHIVED = """SELECT customer_id, first_name, last_name FROM ({blanked}
@@ -157,7 +200,7 @@ ARCHIVED = """SELECT customer_id, first_name, last_name FROM ({blanked}
 
 @query("k01b_archive_rejected_rows", ARCHIVED.format(blanked=BLANKED))
 def k01b(spark, d):
-    folder = scratch(spark)
+    folder = new_folder(spark)
     raw = view(spark, d, "raw_customer")
     archive = {"archive_folder": folder, "archive_df_name": "customer"}
     config = {"customer": {"drop_nulls": {"columns": ["last_name"], **archive}}}
@@ -168,6 +211,6 @@ def k01b(spark, d):
 
 @query("k05_create_table", CUSTOMERS)
 def k05(spark, d):
-    path = scratch(spark)
+    path = new_folder(spark)
     create_table(_customers(spark, d), path, "parquet", {}, table_option="path")
     return spark.read.parquet(path)

@@ -10,9 +10,9 @@ from shopgrain.plans import run_cleaning
 from .cleaning import (
     CLEANING,
     CUSTOMER_SQL,
-    REPEATED_SQL,
     columns_of,
-    repeated_customers,
+    raw_table,
+    repeated_sql,
 )
 from .registry import query
 from .views import table, view
@@ -68,7 +68,7 @@ def profile_sql(
 
 def _profiled(spark: SparkSession, d: str) -> dict[str, DataFrame]:
     reviews = view(spark, d, "raw_review")
-    return {"customer": repeated_customers(spark, d), "review": reviews}
+    return {"customer": raw_table(spark, d, "customer"), "review": reviews}
 
 
 REVIEW_SOURCE = """(SELECT review_id, product_id, customer_id,
@@ -76,7 +76,7 @@ REVIEW_SOURCE = """(SELECT review_id, product_id, customer_id,
 
 
 def _profiles_sql(counted: tuple[str, ...] = NUMERIC) -> str:
-    customers = profile_sql("customer", REPEATED_SQL, RAW_TYPES, counted)
+    customers = profile_sql("customer", repeated_sql("customer"), RAW_TYPES, counted)
     reviews = profile_sql("review", REVIEW_SOURCE, REVIEW_TYPES, counted)
     return f"{customers} UNION ALL {reviews}"
 
@@ -102,7 +102,7 @@ def q03(spark, d):
     )
 
 
-BEFORE_SQL = profile_sql("customer", REPEATED_SQL, RAW_TYPES)
+BEFORE_SQL = profile_sql("customer", repeated_sql("customer"), RAW_TYPES)
 AFTER_SQL = profile_sql("customer", f"({CUSTOMER_SQL})", CLEAN_TYPES)
 
 
@@ -124,7 +124,7 @@ PROFILES = f"WITH before_profile AS ({BEFORE_SQL}), after_profile AS ({AFTER_SQL
     WHERE before <> after""",
 )
 def q04(spark, d):
-    customers = {"customer": repeated_customers(spark, d)}
+    customers = {"customer": raw_table(spark, d, "customer")}
     return run_cleaning(customers, CLEANING).changes
 
 
@@ -139,7 +139,7 @@ def q04(spark, d):
     a.duplicate_count AS duplicate_count_after FROM b JOIN a USING (table_name)""",
 )
 def q05(spark, d):
-    customers = {"customer": repeated_customers(spark, d)}
+    customers = {"customer": raw_table(spark, d, "customer")}
     return run_cleaning(customers, CLEANING).summary
 
 
@@ -162,5 +162,31 @@ def k09(spark, d):
     return op.upsert_by_key(target, source, ["order_id"])
 
 
+@query(
+    "k09b_upsert_null_keys",
+    """WITH source AS (SELECT CASE WHEN l_orderkey % 10 = 0 THEN NULL
+        ELSE l_orderkey * 2 END AS order_id, l_extendedprice AS total FROM lineitem),
+    target AS (SELECT CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey END
+        AS order_id, o_totalprice AS total FROM orders)
+    SELECT order_id, min(total) AS total FROM source WHERE order_id IS NOT NULL
+    GROUP BY order_id UNION ALL
+    SELECT * FROM source WHERE order_id IS NULL UNION ALL
+    SELECT * FROM target WHERE order_id IS NULL UNION ALL
+    SELECT * FROM target WHERE order_id IS NOT NULL AND order_id NOT IN
+        (SELECT order_id FROM source WHERE order_id IS NOT NULL)""",
+)
+def k09b(spark, d):
+    """Rows without a key match nothing and all stay."""
+    target = table(spark, d, "orders").selectExpr(
+        "CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_orderkey END AS order_id",
+        "o_totalprice AS total",
+    )
+    source = table(spark, d, "lineitem").selectExpr(
+        "CASE WHEN l_orderkey % 10 = 0 THEN NULL ELSE l_orderkey * 2 END AS order_id",
+        "l_extendedprice AS total",
+    )
+    return op.upsert_by_key(target, source, ["order_id"])
+
+
 # Every column of the raw view is typed above.
 assert columns_of("raw_customer") == list(RAW_TYPES)

@@ -134,3 +134,22 @@ def test_select_tables(customers):
     assert list(select_tables(dataset, ["b", "a"], "df_data_")) == ["b", "a"]
     with pytest.raises(ValueError, match="df_data_c"):
         select_tables(dataset, {"a": None, "c": None}, "df_data_")
+
+
+def test_reports_and_archives_do_not_run_the_chain_again(spark, customers, tmp_path):
+    runs = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    slow = customers.mapInArrow(counted, customers.schema)
+    steps = {"drop_nulls": {"columns": ["id"], "archive_folder": str(tmp_path), "archive_df_name": "x"}}
+    result = run_cleaning({"customer": slow}, {"customer": steps}, save=True)
+    once = runs.value
+    result.changes.count(), result.summary.count(), result.changes.count()
+    profiled = runs.value - once
+    assert profiled == customers.count()  # the source's own profile, once
+    assert result.write_rejected()
+    assert runs.value - once - profiled <= customers.count()

@@ -281,3 +281,38 @@ def test_names_with_dots_and_spaces(spark, values):
     dated = frame(spark, "`d.e` string", ("05/01/2023",))
     assert values(op.standardize_date_format(dated, "d.e"))[0] == "2023-01-05"
     assert cleaning.clean_phone_numbers(dated, "d.e").count() == 1
+
+
+def test_duplicates_with_map_columns(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (1, map('b', 2, 'a', 1)), (1, map('a', 0)), (2, null) AS t(k, m)"
+    )
+    got = {r.k: r.m for r in op.remove_duplicates(df, ["k"]).collect()}
+    assert got == {1: {"a": 0}, 2: None}
+
+
+def test_medians_of_all_columns_take_the_same_passes(spark):
+    from shopgrain.operators.quantiles import exact_medians
+
+    def jobs(n):
+        """Jobs of the medians of n columns, and the medians."""
+        columns = [f"(id * {7 + i}) % 1009 AS c{i}" for i in range(n)]
+        df = spark.range(2000).selectExpr(*columns)
+        group = f"medians-{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        found = exact_medians(df, df.columns, accuracy=100, sortable=50)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for c, value in found.items():
+            ordered = sorted(r[c] for r in df.select(c).collect())
+            assert value == ordered[(len(ordered) + 1) // 2 - 1]
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    assert jobs(6) <= jobs(1) + 2
+
+
+def test_modes_read_the_input_twice(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "b"), (None, None)], "x int, y string")
+    filled = op.impute_nulls(df, ["x", "y"], "mode")
+    assert sorted(map(tuple, filled.collect())) == [(1, "a"), (1, "b"), (1, "b"), (2, "b")]
+    plan = filled._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") <= 2

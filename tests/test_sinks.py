@@ -118,7 +118,7 @@ def test_loader_for_all_tables(spark, rows, calls, monkeypatch, values):
     monkeypatch.setattr(database, "jdbc_runner", runner)
     load = jdbc_loader("jdbc:x", POSTGRES, {})
     found = upsert_all(spark, {"shop": rows}, {"shop": "id"}, load)
-    assert values(found) == [("shop", "created", None)]
+    assert values(found) == [("shop", "created", 3, None)]
     assert [c[0].split()[0] for c in calls if isinstance(c, list)] == ["CREATE", "INSERT"]
 
 
@@ -188,12 +188,13 @@ def test_upsert_all_reports_each_table(spark, rows, values):
 
     dataset = {"a": rows, "b": rows, "bad": rows, "empty": rows.limit(0), "none": None}
     keys = {"a": "id", "b": ["id", "name"], "bad": "id", "empty": "id", "none": "id"}
+    n = rows.count()
     assert values(upsert_all(spark, dataset, keys, load)) == [
-        ("a", "a by id", None),
-        ("b", "b by id+name", None),
-        ("bad", "failed", "refused"),
-        ("empty", "skipped", None),
-        ("none", "skipped", None),
+        ("a", "a by id", n, None),
+        ("b", "b by id+name", n, None),
+        ("bad", "failed", n, "refused"),
+        ("empty", "skipped", 0, None),
+        ("none", "skipped", 0, None),
     ]
     with pytest.raises(ValueError, match="no key columns"):
         upsert_all(spark, {"a": rows}, {}, load)

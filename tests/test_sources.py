@@ -182,3 +182,14 @@ def test_many_workbooks_in_one_scan(spark, tmp_path):
         write_workbook(tmp_path / f"b{i}.xlsx", {"s": rows})
     cells = read_workbook_cells(spark, str(tmp_path), "s").where("row_no > 1")
     assert cells.selectExpr("sum(CAST(cells[0] AS INT))").first()[0] == sum(range(600))
+
+
+def test_a_table_directory_is_one_table(spark, tmp_path):
+    """A written directory given itself, and one with its extension in capitals."""
+    df = spark.range(30).repartition(3)
+    df.write.parquet(f"{tmp_path}/one/orders.parquet")
+    df.write.parquet(f"{tmp_path}/one/Lines.PARQUET")
+    own = load_dataset(spark, f"{tmp_path}/one/orders.parquet").tables
+    assert {n: t.count() for n, t in own.items()} == {"df_orders": 30}
+    both = load_dataset(spark, f"{tmp_path}/one").tables
+    assert {n: t.count() for n, t in both.items()} == {"df_orders": 30, "df_Lines": 30}
