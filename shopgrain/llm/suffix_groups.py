@@ -37,7 +37,7 @@ from .arrow import record_batch, slices
 LENGTH, ANCHOR = 50, 16
 WINDOW = LENGTH - ANCHOR + 1
 #: Bytes of text searched for anchors at once.
-STEP = 1 << 22
+STEP = 1 << 20
 #: Contexts ordered at once by suffixes for one anchor; bytes of a batch of texts.
 CONTEXTS, BATCH = 48, 1 << 19
 #: Rows of contexts held while their anchors are completed.
@@ -378,7 +378,7 @@ def ask_anchors(parts: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in byte_slices(batch, "data", 1 << 25):
+            for piece in byte_slices(batch, "data", 1 << 24):
                 texts = piece.column("t").to_numpy()
                 found = list(text_anchors(piece.column("data")))
                 row, place, before, strings, hashes = (np.concatenate(x) for x in zip(*found))
