@@ -40,7 +40,8 @@ def map_rows(
     """``keep`` as it is, beside ``outputs`` that Python computes from ``inputs``.
 
     ``make`` runs once in each task and returns a function from a list per input
-    column to a list per output column. Only these columns are read.
+    column to a list per output column; what it remembers ends with the task, as idle
+    workers would hold on to it. Only these columns are read.
     """
     kept = [f"k{i}" for i in range(len(keep))]
     given = [f"i{i}" for i in range(len(inputs))]
@@ -58,5 +59,7 @@ def map_rows(
         for part in slices(batches, step):
             values = each(*(c.to_pylist() for c in part.columns[n:]))
             yield record_batch([*part.columns[:n], *values], arrow)
+        del each
+        pa.default_memory_pool().release_unused()
 
     return picked.mapInArrow(run, result).toDF(*keep, *made.names)

@@ -12,6 +12,7 @@ as they come, through the bytes of a character that is not complete yet.
 from __future__ import annotations
 
 import codecs
+import copy
 import functools
 import hashlib
 import heapq
@@ -114,6 +115,12 @@ class Encoder:
         self.pieces: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
 
+    def fresh(self) -> Encoder:
+        """The same encoder with a memory of its own."""
+        own = copy.copy(self)
+        own.pieces, own.runs = {}, {}
+        return own
+
     def merged(self, data: bytes) -> list[int]:
         """All merges of a window: the first of the list that applies, again and again."""
         rank, made, none = self.rank, self.made, len(self.made)
@@ -234,7 +241,7 @@ def encode_column(df: DataFrame, text: str, path: str, keep: list[str]) -> DataF
     """``keep`` and ``ids array<int>``, the token ids of ``text`` (null: none)."""
 
     def make():
-        e = encoder(path)
+        e = encoder(path).fresh()
         return lambda texts: ([e.encode(t or "").tolist() for t in texts],)
 
     return map_rows(df, keep, [text], "ids array<int>", make)
@@ -260,7 +267,7 @@ def token_digests(df: DataFrame, text: str, path: str, keep: list[str]) -> DataF
     """
 
     def make():
-        e = encoder(path)
+        e = encoder(path).fresh()
 
         def rows(texts):
             out = []

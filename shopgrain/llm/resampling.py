@@ -42,7 +42,7 @@ REPEATS = 8
 SEED = 11
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Token hashes kept per task.
-KEPT = 1_000_000
+KEPT = 300_000
 
 
 class Features:
