@@ -82,4 +82,17 @@ QUERIES: dict[str, Query] = {
     "op10_mixing": op10,
 }
 
-SQL: dict[str, str] = {}
+#: Where SQL can say it; the rest is tested against brute force, round trips or labels.
+SQL: dict[str, str] = {
+    "op7_warc": """WITH payloads AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+    measured AS (SELECT page_id, strlen(payload) AS payload_bytes,
+        sha1(payload) AS payload_digest FROM payloads),
+    held AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes)
+        AS holder FROM measured)
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 1000 AND holder IS DISTINCT FROM page_id
+            THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN payload_bytes >= 1000 AND holder IS DISTINCT FROM page_id
+            THEN holder END AS refers_to
+    FROM held""",
+}

@@ -105,3 +105,17 @@ def test_gzip_members():
     assert [len(b) for _, b in records(decompressed(pa.py_buffer(one(b"xyz"))))] == [3]
     with pytest.raises(ValueError, match="inside a record"):
         list(records(iter([one(b"abcdef")[:-6]])))
+
+
+def test_query_equals_its_sql(spark):
+    import duckdb
+
+    from shopgrain.llm.queries import QUERIES, SQL
+
+    folder = "/root/testdata/sf0.001"
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW pages AS SELECT * FROM '{folder}/pages.parquet'")
+    expected = connection.execute(SQL["op7_warc"])
+    names = [d[0] for d in expected.description]
+    got = QUERIES["op7_warc"](spark, folder).select(names)
+    assert sorted(map(tuple, got.collect())) == sorted(expected.fetchall())
