@@ -12,7 +12,6 @@ as they come, through the bytes of a character that is not complete yet.
 from __future__ import annotations
 
 import codecs
-import copy
 import functools
 import hashlib
 import heapq
@@ -35,7 +34,7 @@ PATTERN = (
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 RUNS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 #: Encoded strings that are kept; beyond it the memory starts anew.
-KEPT = 400_000
+KEPT = 150_000
 #: Strings up to so many characters are kept.
 KEPT_CHARS = 48
 #: Windows up to so many bytes are scanned for the next merge.
@@ -115,12 +114,6 @@ class Encoder:
         self.pieces: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
 
-    def fresh(self) -> Encoder:
-        """The same encoder with a memory of its own."""
-        own = copy.copy(self)
-        own.pieces, own.runs = {}, {}
-        return own
-
     def merged(self, data: bytes) -> list[int]:
         """All merges of a window: the first of the list that applies, again and again."""
         rank, made, none = self.rank, self.made, len(self.made)
@@ -241,7 +234,7 @@ def encode_column(df: DataFrame, text: str, path: str, keep: list[str]) -> DataF
     """``keep`` and ``ids array<int>``, the token ids of ``text`` (null: none)."""
 
     def make():
-        e = encoder(path).fresh()
+        e = Encoder(path)
         return lambda texts: ([e.encode(t or "").tolist() for t in texts],)
 
     return map_rows(df, keep, [text], "ids array<int>", make)
@@ -251,7 +244,7 @@ def decode_column(df: DataFrame, ids: str, path: str, keep: list[str]) -> DataFr
     """``keep`` and ``decoded string``, the text of the token ids (null: empty)."""
 
     def make():
-        pieces = encoder(path).bytes
+        pieces = Encoder(path).bytes
         return lambda rows: (["".join(decoded(np.array(r or [], "<u4"), pieces)) for r in rows],)
 
     return map_rows(df, keep, [ids], "decoded string", make)
@@ -267,7 +260,7 @@ def token_digests(df: DataFrame, text: str, path: str, keep: list[str]) -> DataF
     """
 
     def make():
-        e = encoder(path).fresh()
+        e = Encoder(path)
 
         def rows(texts):
             out = []
