@@ -378,7 +378,7 @@ def ask_anchors(parts: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece in byte_slices(batch, "data", 1 << 24):
+            for piece in byte_slices(batch, "data", 1 << 23):
                 texts = piece.column("t").to_numpy()
                 found = list(text_anchors(piece.column("data")))
                 row, place, before, strings, hashes = (np.concatenate(x) for x in zip(*found))
@@ -455,11 +455,14 @@ def flagged(parcels: list[bytes]) -> Iterator[pa.RecordBatch]:
     for data in parcels:
         kind, *columns = opened(data)
         (asking if kind == ASKING else known).append(columns)
+    parcels.clear()
     for _, t, at in known:
         yield record_batch([pa.array(t), pa.array(at)], FLAGGED)
+    known.clear()
     if not asking:
         return
     h, t, at = (np.concatenate(x) for x in zip(*asking))
+    asking.clear()
     order = np.lexsort((at, t, h))
     h, t, at = h[order], t[order], at[order]
     start = runs(h)
@@ -494,7 +497,7 @@ def ask_contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     is repeated; it goes on as a span (context null), dealt out at random.
     """
     for batch in batches:
-        for part in byte_slices(batch, "data", 1 << 24):
+        for part in byte_slices(batch, "data", 1 << 22):
             offsets, data = buffers(part.column("data"))
             lists = part.column("at")
             lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
