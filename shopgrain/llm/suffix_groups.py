@@ -318,8 +318,9 @@ def runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, change]) if len(keys[0]) else np.zeros(0, dtype=np.int64)
 
 
-#: Bits of an anchor's hash that are sent: enough to keep strangers apart mostly.
-HASH_BITS = 48
+#: Bits of an anchor's hash that are sent: enough to keep strangers apart mostly. They are
+#: the lowest ones: the highest, by which anchors are chosen, crowd at the low end.
+HASH_BITS = 44
 PARCEL = pa.schema([("part", pa.int32()), ("parcel", pa.binary())])
 
 
@@ -342,11 +343,12 @@ def unpacked_numbers(data: memoryview, at: int) -> tuple[np.ndarray, int]:
 
 
 def parcel(kind: int, h: np.ndarray, t: np.ndarray, at: np.ndarray) -> bytes:
-    """Anchors in the order of their hashes, close together: hashes as differences,
-    texts by number in a table, places as they are."""
+    """Anchors in the order of their hashes, close together: hashes as differences
+    behind the first, texts by number in a table, places as they are."""
     texts, number = np.unique(t.view(np.uint64), return_inverse=True)
     lists = (
-        np.diff(h.view(np.uint64), prepend=np.uint64(0)),
+        h[:1].view(np.uint64),
+        np.diff(h, prepend=h[:1]).view(np.uint64),
         np.diff(texts, prepend=np.uint64(0)),
         number,
         (at + 1).view(np.uint64),
@@ -356,12 +358,13 @@ def parcel(kind: int, h: np.ndarray, t: np.ndarray, at: np.ndarray) -> bytes:
 
 def opened(data: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     view, at, lists = memoryview(data), 1, []
-    for _ in range(4):
+    for _ in range(5):
         x, at = unpacked_numbers(view, at)
         lists.append(x)
-    texts = np.cumsum(lists[1], dtype=np.uint64).view(np.int64)
-    h = np.cumsum(lists[0], dtype=np.uint64).view(np.int64)
-    return data[0], h, texts[lists[2].astype(np.int64)], lists[3].view(np.int64) - 1
+    first, steps, texts, number, places = lists
+    texts = np.cumsum(texts, dtype=np.uint64).view(np.int64)
+    h = (first + np.cumsum(steps, dtype=np.uint64)).view(np.int64)
+    return data[0], h, texts[number.astype(np.int64)], places.view(np.int64) - 1
 
 
 #: Kinds of parcels: anchors that ask for other texts, anchors known to be repeated.
@@ -369,7 +372,7 @@ ASKING, KNOWN = 0, 1
 
 
 def ask_anchors(parts: int):
-    """Anchors of texts, parcelled by ranges of their hashes.
+    """Anchors of texts, parcelled by ranges of their hashes, a like number in each.
 
     An anchor asks whether another text has it. Where two texts of a batch share one,
     its places are repeated for sure: they go on as known, in parcels dealt out by text,
@@ -382,7 +385,7 @@ def ask_anchors(parts: int):
                 texts = piece.column("t").to_numpy()
                 found = list(text_anchors(piece.column("data")))
                 row, place, before, strings, hashes = (np.concatenate(x) for x in zip(*found))
-                h = (hashes >> np.uint64(64 - HASH_BITS)).view(np.int64)
+                h = (hashes & np.uint64((1 << HASH_BITS) - 1)).view(np.int64)
                 t, at = texts[row], packed(place, before, strings)
                 order = np.lexsort((at, t, h))
                 h, t, at = h[order], t[order], at[order]
@@ -435,7 +438,7 @@ FLAGGED = pa.schema([("t", pa.int64()), ("at", pa.int64())])
 def repeated_anchors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The anchors that occur in two texts, of parcels sorted by part.
 
-    Holds the parcels of one part; their number follows the shuffle partitions.
+    Holds the parcels of one part, of as many even ones as there are shuffle partitions.
     """
     held: list[bytes] = []
     part = None

@@ -9,9 +9,12 @@ import pytest
 from shopgrain.llm import suffix_groups
 from shopgrain.llm.suffix_groups import (
     ANCHOR,
+    HASH_BITS,
     LENGTH,
     WINDOW,
+    ask_anchors,
     gram_hashes,
+    opened,
     remove_repeats,
     smallest_ids,
     suffix_orders,
@@ -52,6 +55,24 @@ def test_every_string_has_one_anchor(monkeypatch):
     assert WINDOW + ANCHOR == LENGTH + 1
 
 
+@pytest.mark.parametrize("parts", [32, 200])
+def test_parts_of_anchors_are_even(parts):
+    rng = np.random.default_rng(parts)
+    texts = [bytes(rng.integers(97, 123, 4000).astype(np.uint8)) for _ in range(500)]
+    batch = pa.record_batch([pa.array(range(500), pa.int64()), pa.array(texts)], ["t", "data"])
+    many, seen = np.zeros(parts, dtype=np.int64), []
+    for found in ask_anchors(parts)([batch]):
+        for part, data in zip(*(c.to_pylist() for c in found.columns), strict=True):
+            _, h, t, at = opened(data)
+            many[part] += len(h)
+            seen += zip(t.tolist(), (at >> 12).tolist(), h.tolist(), strict=True)
+    assert many.max() < 1.5 * many.mean()
+    whole = np.concatenate([x[-1] for x in text_anchors(pa.array(texts))])
+    assert sorted(h for _, _, h in seen) == sorted((whole & np.uint64((1 << HASH_BITS) - 1)).tolist())
+    for t, place, h in seen[::997]:
+        assert h == int(gram_hashes(np.frombuffer(texts[t], np.uint8))[place]) & (1 << HASH_BITS) - 1
+
+
 @pytest.mark.parametrize("most", [48, 3])
 def test_smallest_ids(monkeypatch, most):
     monkeypatch.setattr(suffix_groups, "CONTEXTS", most)
