@@ -14,6 +14,8 @@ starts in a document with a smaller id. Every such string holds an anchor: the
 are unique and go no further. For the others the strings around an anchor, its
 context, meet in one task with all contexts of equal anchors; the suffix order brings
 equal strings together, and the smallest id of each run of equal strings decides.
+An anchor with very many contexts is crowded: it goes on string by string, each string
+dealt out by its own hash, so that no task holds all contexts of a frequent phrase.
 
 Repeats are resolved as early as they show, so that nothing hot is shuffled: an
 anchor that two texts of a batch share asks nobody, a context that occurs twice in a
@@ -38,10 +40,13 @@ LENGTH, ANCHOR = 50, 16
 WINDOW = LENGTH - ANCHOR + 1
 #: Bytes of text searched for anchors at once.
 STEP = 1 << 20
-#: Contexts ordered at once by suffixes for one anchor; bytes of a batch of texts.
+#: Contexts ordered at once by suffixes for one anchor, and sent by one batch; bytes of a
+#: batch of texts.
 CONTEXTS, BATCH = 48, 1 << 19
-#: Rows of contexts held while their anchors are completed.
+#: Rows of contexts held while their anchors are completed, of one anchor at most.
 ROWS = 50_000
+#: Strings cut at once of crowded anchors.
+STRINGS = 1 << 16
 
 LAST = (1 << 63) - 1
 
@@ -480,12 +485,18 @@ def flagged(parcels: list[bytes]) -> Iterator[pa.RecordBatch]:
 CONTEXT = pa.schema(
     [
         ("h", pa.int64()), ("context", pa.binary()), ("k", pa.int32()), ("d", pa.int64()),
-        ("start", pa.int32()), ("stop", pa.int32()),
+        ("start", pa.int32()), ("stop", pa.int32()), ("more", pa.binary()),
     ]
 )
 SPAN = pa.schema(
     [("k", pa.int32()), ("d", pa.int64()), ("start", pa.int32()), ("stop", pa.int32())]
 )
+#: ``stop`` of rows of CONTEXT that are no spans: a context or a mark of a crowded anchor
+#: (context null, start -1, so that it comes first), a string of one. What a text holds
+#: more than once asks once; ``more`` has its other starts.
+ASKED, STRING = 0, -1
+#: Bits of the hash that deals out contexts; strangers that share it are told apart.
+DEALT_BITS = 40
 
 
 def short(t: np.ndarray) -> np.ndarray:
@@ -497,7 +508,9 @@ def ask_contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The strings around each repeated anchor, which ask which of them repeat.
 
     Where a batch has the same context in a document with a smaller id, all of it
-    is repeated; it goes on as a span (context null), dealt out at random.
+    is repeated; it goes on as a span (context null), dealt out by text. An anchor with
+    more than ``CONTEXTS`` of them is crowded: its strings ask for themselves, and a mark
+    tells those who have its other contexts.
     """
     for batch in batches:
         for part in byte_slices(batch, "data", 1 << 22):
@@ -520,16 +533,123 @@ def ask_contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for a, z in zip((base + start).tolist(), (base + stop).tolist(), strict=True)
             ]
             t, d = (part.column(c).to_numpy()[row] for c in ("t", "d"))
+            k = short(t)
             names = pa.array(cut, pa.binary()).dictionary_encode().indices.to_numpy()
             first = np.full(int(names.max()) + 1, LAST, dtype=np.int64)
             np.minimum.at(first, names, d)
             settled = first[names] < d
-            h = np.where(settled, spread(t ^ start), place_hashes(data, base + place))
-            context = pa.array(cut, pa.binary(), mask=settled)
-            stop = np.where(settled, stop, 0)
-            columns = (h, context, short(t), d, start.astype(np.int32), stop.astype(np.int32))
-            columns = [c if isinstance(c, pa.Array) else pa.array(c) for c in columns]
-            yield record_batch(columns, CONTEXT)
+            yield span_rows(k[settled], d[settled], start[settled], stop[settled])
+            h = place_hashes(data, base + place) & ((1 << DEALT_BITS) - 1)
+            anchor = np.zeros(len(first), dtype=np.int64)
+            anchor[names] = h
+            anchor, many = np.unique(anchor, return_counts=True)
+            marks = anchor[many > CONTEXTS]
+            none, null = np.zeros(len(marks), dtype=np.int64), pa.nulls(len(marks), pa.binary())
+            yield context_rows(marks, null, none, none, none - 1, none + ASKED, null)
+            crowded = np.isin(h, marks) & ~settled
+            x = np.flatnonzero(crowded)
+            yield from string_rows(data, (base + start)[x], (base + stop)[x], k[x], d[x], start[x])
+            x = np.flatnonzero(~crowded & ~settled)
+            context = pa.array([cut[i] for i in x.tolist()], pa.binary())
+            yield asking_once(h[x], context, names[x], k[x], d[x], start[x], ASKED)
+
+
+def context_rows(h, context, k, d, start, stop, more) -> pa.RecordBatch:
+    columns = (pa.array(x) for x in (k, d, start, stop))
+    return record_batch([pa.array(h), context, *columns, more], CONTEXT)
+
+
+def asking_once(h, context, name, k, d, start, stop) -> pa.RecordBatch:
+    """A row for all places that one text has of a context or string ``name``."""
+    order = np.lexsort((start, d, k, name))
+    at = runs(name[order], k[order], d[order])
+    many = np.diff(np.r_[at, len(order)])
+    rest = np.ones(len(order), dtype=bool)
+    rest[at] = False
+    ends = np.r_[0, np.cumsum(many - 1)].astype(np.int32) * 4
+    starts = start[order][rest].astype(np.int32)
+    buffers_ = [None, pa.py_buffer(ends), pa.py_buffer(starts)]
+    more = pa.Array.from_buffers(pa.binary(), len(at), buffers_)
+    more = pc.if_else(pa.array(many > 1), more, pa.scalar(None, pa.binary()))
+    x = order[at]
+    stop = np.full(len(x), stop)
+    return context_rows(h[x], context.take(pa.array(x)), k[x], d[x], start[x], stop, more)
+
+
+def all_starts(start: np.ndarray, more: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The starts of rows, ``more`` among them, behind each other, and where a row's begin."""
+    extra = pc.fill_null(pc.binary_length(more), 0).to_numpy(zero_copy_only=False) // 4
+    first = np.r_[0, np.cumsum(extra + 1)].astype(np.int64)
+    out = np.empty(first[-1], dtype=np.int64)
+    rest = np.ones(len(out), dtype=bool)
+    rest[first[:-1]] = False
+    out[first[:-1]] = start
+    out[rest] = np.frombuffer(b"".join(more.drop_null().to_pylist()), np.int32)
+    return out, first
+
+
+def every_start(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Row and start of each place that the rows stand for."""
+    more = batch.column("more")
+    more = more.combine_chunks() if isinstance(more, pa.ChunkedArray) else more
+    starts, first = all_starts(batch.column("start").to_numpy(), more)
+    return np.repeat(np.arange(batch.num_rows), np.diff(first)), starts
+
+
+def span_rows(k, d, start, stop) -> pa.RecordBatch:
+    """Spans, those that meet as one, dealt out by text."""
+    k, d, start, stop = merged(k, d, start, stop)
+    null = pa.nulls(len(k), pa.binary())
+    return context_rows(k.astype(np.int64) & 0xFFFFFFFF, null, k, d, start, stop, null)
+
+
+def merged(k, d, start, stop) -> tuple[np.ndarray, ...]:
+    """Spans of texts in order, those that overlap or touch as one."""
+    order = np.lexsort((start, d, k))
+    k, d, start, stop = (x[order].astype(np.int64) for x in (k, d, start, stop))
+    text = np.zeros(len(k), dtype=np.int64)
+    text[runs(k, d)] = 1
+    text = np.cumsum(text) << 32
+    end = np.maximum.accumulate(text + stop)
+    begin = np.flatnonzero(np.r_[True, (text + start)[1:] > end[:-1]][: len(k)])
+    last = np.r_[begin[1:], len(k)][: len(begin)] - 1
+    return k[begin].astype(np.int32), d[begin], start[begin], end[last] - text[last]
+
+
+def string_rows(data, low, high, k, d, start) -> Iterator[pa.RecordBatch]:
+    """The strings in ``data[low:high]``, each dealt out by its hash.
+
+    Of equal ones that are cut at once, only those with the smallest id ask.
+    """
+    counts = high - low - LENGTH + 1
+    ends = np.cumsum(counts)
+    a = 0
+    while a < len(counts):
+        z = max(a + 1, int(np.searchsorted(ends, ends[a] - counts[a] + STRINGS, side="right")))
+        own = np.repeat(np.arange(a, z), counts[a:z])
+        inside = np.arange(len(own)) - np.repeat(ends[a:z] - counts[a:z] - ends[a] + counts[a], counts[a:z])
+        at, begin = low[own] + inside, start[own] + inside
+        offsets = np.arange(len(own) + 1, dtype=np.int32) * LENGTH
+        cut = data[at[:, None] + np.arange(LENGTH)]
+        buffers_ = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(cut))]
+        strings = pa.Array.from_buffers(pa.binary(), len(own), buffers_)
+        h = place_hashes(data, at)
+        for step in (ANCHOR, 2 * ANCHOR, LENGTH - ANCHOR):
+            h = spread(h) ^ place_hashes(data, at + step)
+        yield from asking(spread(h), strings, k[own], d[own], begin)
+        a = z
+
+
+def asking(h, strings: pa.Array, k, d, start) -> Iterator[pa.RecordBatch]:
+    """Strings that have the smallest id among equal ones here; the others as spans."""
+    name = strings.dictionary_encode().indices.to_numpy()
+    least = np.full(int(name.max(initial=-1)) + 1, LAST, dtype=np.int64)
+    np.minimum.at(least, name, d)
+    bad = d > least[name]
+    yield span_rows(k[bad], d[bad], start[bad], start[bad] + LENGTH)
+    x = np.flatnonzero(~bad)
+    strings = strings.take(pa.array(x))
+    yield asking_once(h[x], strings, name[x], k[x], d[x], start[x], STRING)
 
 
 def place_hashes(data: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -538,38 +658,73 @@ def place_hashes(data: np.ndarray, place: np.ndarray) -> np.ndarray:
 
 
 def repeated_spans(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Byte spans of repeated strings, of contexts sorted by h.
+    """Byte spans of repeated strings, of contexts sorted by h and start.
 
-    Anchors are completed, then all contexts of the completed ones are ordered.
+    Anchors are completed, then all contexts of the completed ones are ordered. Those of
+    crowded anchors, marked or of ``ROWS`` rows, go on as strings without being held.
     """
     held: list[pa.RecordBatch] = []
     rows = 0
+    crowded = None
     for batch in batches:
+        if crowded is not None:
+            same = batch.column("h").to_numpy() == crowded
+            end = batch.num_rows if same.all() else int(same.argmin())
+            yield from broken(pa.Table.from_batches([batch.slice(0, end)]))
+            if end == batch.num_rows:
+                continue
+            batch, crowded = batch.slice(end), None
         held.append(batch)
         rows += batch.num_rows
         if rows < ROWS:
             continue
         table = pa.Table.from_batches(held).combine_chunks()
-        start = runs(table.column("h").to_numpy())
-        done = int(start[-1])
+        h = table.column("h").to_numpy()
+        done = int(runs(h)[-1])
         if done:
             yield from spans(table.slice(0, done))
-            held = table.slice(done).to_batches()
-            rows = table.num_rows - done
+        held, rows = table.slice(done).to_batches(), table.num_rows - done
+        if rows >= ROWS:
+            crowded = h[-1]
+            yield from broken(table.slice(done))
+            held, rows = [], 0
     if rows:
         yield from spans(pa.Table.from_batches(held))
 
 
-def spans(table: pa.Table) -> Iterator[pa.RecordBatch]:
+def broken(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Contexts of crowded anchors as strings; spans and strings among them as they are."""
+    yield from spans(table, np.unique(table.column("h").to_numpy()))
+
+
+def spans(table: pa.Table, crowded: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """Spans and strings that still ask, of whole anchors or of a part of ``crowded`` ones."""
     table = table.combine_chunks()
-    settled = table.filter(pc.is_null(table.column("context")))
-    for batch in settled.select(SPAN.names).to_batches():
-        yield record_batch(batch.columns, SPAN)
-    asked = table.filter(pc.is_valid(table.column("context")))
+    stop = table.column("stop").to_numpy()
+    settled = table.filter(pa.array(stop > ASKED))
+    if settled.num_rows:
+        yield span_rows(*(settled.column(c).to_numpy() for c in SPAN.names))
+    string = table.filter(pa.array(stop == STRING))
+    if string.num_rows:
+        own, start = every_start(string)
+        h, k, d = (string.column(c).to_numpy()[own] for c in ("h", "k", "d"))
+        context = string.column("context").combine_chunks().take(pa.array(own))
+        yield from asking(h, context, k, d, start)
+    asked = table.filter(pa.array(stop == ASKED))
+    mark = asked.column("start").to_numpy() < 0
+    h = asked.column("h").to_numpy()
+    many = np.isin(h, h[mark] if crowded is None else crowded)
+    lone = asked.filter(pa.array(many & ~mark))
+    if lone.num_rows:
+        offsets, data = buffers(lone.column("context").combine_chunks())
+        own, start = every_start(lone)
+        k, d = (lone.column(c).to_numpy()[own] for c in ("k", "d"))
+        yield from string_rows(data, offsets[own], offsets[own + 1], k, d, start)
+    asked = asked.filter(pa.array(~many))
     if not asked.num_rows:
         return
-    h, k, d, start = (asked.column(c).to_numpy() for c in ("h", "k", "d", "start"))
-    coded = pa.concat_arrays(asked.column("context").chunks).dictionary_encode()
+    h, k, d = (asked.column(c).to_numpy() for c in ("h", "k", "d"))
+    coded = asked.column("context").combine_chunks().dictionary_encode()
     name = coded.indices.to_numpy()
     contexts = coded.dictionary
     first = np.full(len(contexts), LAST, dtype=np.int64)
@@ -589,8 +744,42 @@ def spans(table: pa.Table) -> Iterator[pa.RecordBatch]:
     begin = np.flatnonzero(new)
     end = np.r_[begin[1:], len(owner)] - 1
     at = owner[begin]
-    low, high = start[at] + inside[begin], start[at] + inside[end] + LENGTH
-    yield record_batch([pa.array(x) for x in (k[at], d[at], low, high)], SPAN)
+    low, high = inside[begin], inside[end] + LENGTH
+    starts, first = all_starts(
+        asked.column("start").to_numpy(), asked.column("more").combine_chunks()
+    )
+    many = first[at + 1] - first[at]
+    x = np.repeat(np.arange(len(at)), many)
+    place = starts[np.repeat(first[at] - np.cumsum(many) + many, many) + np.arange(len(x))]
+    yield span_rows(k[at][x], d[at][x], place + low[x], place + high[x])
+
+
+def resolved_strings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Spans, those of repeated strings too, of rows sorted by h, context and d.
+
+    The first of equal strings has the smallest id; nothing but it is held.
+    """
+    last, least_of_last = (None, None), LAST
+    for batch in batches:
+        string = batch.column("stop").to_numpy() == STRING
+        settled = batch.filter(pa.array(~string))
+        k, d, start, stop = (settled.column(c).to_numpy() for c in SPAN.names)
+        batch = batch.filter(pa.array(string))
+        if batch.num_rows:
+            context = batch.column("context")
+            name = context.dictionary_encode().indices.to_numpy()
+            h, k2, d2 = (batch.column(c).to_numpy() for c in ("h", "k", "d"))
+            at = runs(h, name)
+            least = d2[at].copy()
+            if (h[0], context[0].as_py()) == last:
+                least[0] = least_of_last
+            last, least_of_last = (h[-1], context[-1].as_py()), least[-1]
+            bad = np.repeat(least, np.diff(np.r_[at, len(h)])) < d2
+            own, place = every_start(batch)
+            own, place = own[bad[own]], place[bad[own]]
+            k, d = np.r_[k, k2[own]], np.r_[d, d2[own]]
+            start, stop = np.r_[start, place], np.r_[stop, place + LENGTH]
+        yield record_batch([pa.array(x) for x in merged(k, d, start, stop)], SPAN)
 
 
 def smallest_ids(
@@ -752,10 +941,12 @@ def remove_repeats(df: DataFrame, doc_id: str, text: str, content: bool = False)
     # Both joins with the texts read all columns, so that one shuffle serves them.
     # No id is below the first of its texts; an equality would become a key of the join.
     own = docs.join(known, ["t", "u"]).where("d <= first")
-    schema = "h long, context binary, k int, d long, start int, stop int"
+    schema = "h long, context binary, k int, d long, start int, stop int, more binary"
     contexts = own.select("t", "u", "d", "data", "at", "doc_id").mapInArrow(ask_contexts, schema)
-    keyed = contexts.repartition("h").sortWithinPartitions("h")
-    removed = keyed.mapInArrow(repeated_spans, "k int, d long, start int, stop int")
+    keyed = contexts.repartition("h").sortWithinPartitions("h", "start")
+    single = keyed.mapInArrow(repeated_spans, schema).repartition("h")
+    single = single.sortWithinPartitions("h", "context", "d")
+    removed = single.mapInArrow(resolved_strings, "k int, d long, start int, stop int")
     removed = removed.groupBy("k", F.col("d").alias("first")).agg(
         F.collect_list(F.struct("start", "stop")).alias("spans")
     )

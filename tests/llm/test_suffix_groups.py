@@ -13,9 +13,13 @@ from shopgrain.llm.suffix_groups import (
     LENGTH,
     WINDOW,
     ask_anchors,
+    ask_contexts,
     gram_hashes,
     opened,
+    packed,
     remove_repeats,
+    repeated_spans,
+    resolved_strings,
     smallest_ids,
     suffix_orders,
     text_anchors,
@@ -175,3 +179,91 @@ def test_long_texts(spark, monkeypatch):
     assert [g[:4] for g in got] == [
         (1, 200_000, 0, 0), (2, 100_071, 100_070, 2), (3, 120_000, 0, 0), (4, 51, 51, 1)
     ]
+
+
+def phrase_in_all(rng, n):
+    """Texts that hold one phrase, each amid other words, some of them repeated near it."""
+    phrase, words = "a licence of markup bytes", [f"{x:05x}" for x in rng.integers(0, 1 << 20, 30)]
+    out = []
+    for i in range(n):
+        near = " ".join(rng.choice(words, 9)) if i % 3 else " ".join(words[: 9 - i % 5])
+        again = " once more" * (i % 40 if i % 9 == 0 else 0)
+        end = " ".join(rng.choice(words[:3], 6))
+        out.append(f"{rng.integers(1 << 60):015x} {near} {phrase} {end}{again}")
+    return out
+
+
+def in_batches(batches, size, *keys):
+    """What a shuffle to one task, sorted by ``keys``, hands over."""
+    table = pa.Table.from_batches([b for b in batches if b.num_rows])
+    return table.sort_by([(k, "ascending") for k in keys]).combine_chunks().to_batches(size)
+
+
+@pytest.mark.parametrize("rows", [40, 50_000])
+def test_no_task_holds_a_frequent_phrase(monkeypatch, rows):
+    """Batches of one to 90 texts, in which the anchors are crowded or not."""
+    monkeypatch.setattr(suffix_groups, "CONTEXTS", 12)
+    monkeypatch.setattr(suffix_groups, "ROWS", rows)
+    monkeypatch.setattr(suffix_groups, "STRINGS", 500)
+    held = []
+    ordered = lambda c, a, f: held.append(np.bincount(np.unique(a, return_inverse=True)[1]).max()) or smallest_ids(c, a, f)  # noqa: E731, E501
+    monkeypatch.setattr(suffix_groups, "smallest_ids", ordered)
+    texts = [x.encode() for x in phrase_in_all(np.random.default_rng(rows), 400)]
+    order = np.random.default_rng(3).permutation(400)
+    values = pa.array(texts)
+    at = [[] for _ in texts]
+    for row, place, before, strings, _ in text_anchors(values):
+        for r, x in zip(row.tolist(), packed(place, before, strings).tolist(), strict=True):
+            at[r].append(x)
+    names, batches, a = ["t", "u", "d", "data", "at", "doc_id"], [], 0
+    for size in [90, 1, 5, 60, 11, 3, 80, 2, 9, 139]:
+        ids = pa.array(order[a : a + size], pa.int64())
+        t = pa.array(range(a, a + size), pa.int64())
+        lists = pa.array(at[a : a + size], pa.list_(pa.int64()))
+        batches.append(pa.record_batch([t, t, ids, values[a : a + size], lists, ids], names))
+        a += size
+    assert a == 400
+    contexts = in_batches(ask_contexts(batches), 7, "h", "start")
+    left = in_batches(repeated_spans(contexts), 7, "h", "context", "d")
+    removed = [[] for _ in texts]
+    for batch in resolved_strings(left):
+        for x in batch.to_pylist():
+            removed[x["k"]].append((x["start"], x["stop"]))
+    least = {}
+    for text, d in zip(texts, order.tolist(), strict=True):
+        for i in range(len(text) - LENGTH + 1):
+            x = text[i : i + LENGTH]
+            least[x] = min(least.get(x, d), d)
+    for text, d, got in zip(texts, order.tolist(), removed, strict=True):
+        want = {j for i in range(len(text) - LENGTH + 1) if least[text[i : i + LENGTH]] < d
+                for j in range(i, i + LENGTH)}
+        assert {j for a, z in got for j in range(a, z)} == want
+    # Of one anchor no more than batches below the limit send, or than may be held.
+    assert max(held, default=0) <= min(12 * len(batches), rows + 7)
+
+
+def test_frequent_phrase_in_spark(spark, conf):
+    conf(spark__sql__execution__arrow__maxRecordsPerBatch="70")
+    texts = phrase_in_all(np.random.default_rng(9), 500)
+    rows = [(int(i), x) for i, x in zip(np.random.default_rng(4).permutation(500), texts, strict=True)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = remove_repeats(df, "doc_id", "text").collect()
+    assert sorted(map(tuple, got), key=repr) == brute(rows)
+
+
+def test_a_repeating_text_asks_once():
+    text = b" Is onhe." * 500
+    values = pa.array([text, b"!" + text])
+    lists = [[], []]
+    for row, place, before, strings, _ in text_anchors(values):
+        for r, x in zip(row.tolist(), packed(place, before, strings).tolist(), strict=True):
+            lists[r].append(x)
+    ids = pa.array([2, 1], pa.int64())
+    columns = [ids, ids, ids, values, pa.array(lists, pa.list_(pa.int64())), ids]
+    batch = pa.record_batch(columns, ["t", "u", "d", "data", "at", "doc_id"])
+    contexts = in_batches(ask_contexts([batch]), 100, "h", "start")
+    asking = [r for b in contexts for r in b.to_pylist() if r["context"] is not None]
+    assert len(asking) < 20 and sum(len(r["more"] or b"") // 4 + 1 for r in asking) > 400
+    left = in_batches(repeated_spans(contexts), 100, "h", "context", "d")
+    got = [r for b in resolved_strings(left) for r in b.to_pylist()]
+    assert got == [{"k": 2, "d": 2, "start": 0, "stop": len(text)}]
