@@ -40,6 +40,9 @@ RECALL, TRIALS = 0.985, 400
 TURNS = 6
 #: The highest share of all vectors in a cap.
 WIDEST = 0.05
+#: The highest cosine with a filter's direction that a cap may ask for. Short vectors would
+#: reach no higher cap, however many directions there are.
+STEEPEST = 0.8
 #: Vectors of a tile, the largest number of code vectors in a block.
 TILE, CODES = 2048, 1024
 #: Vectors decoded, pairs compared at once.
@@ -62,11 +65,16 @@ class Codes:
             for z in (-normal.inv_cdf(inside * (i + 0.5) / 200) for i in range(200))
         ) / 200
         wanted = max(4, SHARED / (inside * beside) / TURNS)
+        cosine, least = height / math.sqrt(dim), 2
+        if cosine > STEEPEST:
+            # The cap is wider than the number of vectors asks for, and needs fewer filters.
+            cosine, least = STEEPEST, 1
+            wanted = max(4, SHARED / cap_share(dim, cosine) / TURNS)
         while True:
-            blocks = min(dim, max(2, math.ceil(math.log(wanted) / math.log(CODES))))
+            blocks = min(dim, max(least, math.ceil(math.log(wanted) / math.log(CODES))))
             self.size = max(2, math.ceil(wanted ** (1 / blocks)))
             self.cuts = [round(i * dim / blocks) for i in range(blocks + 1)]
-            self.height = height * math.sqrt(blocks / dim)
+            self.height = cosine * math.sqrt(blocks)
             self.turns = [self.drawn(np.random.default_rng((seed, dim, t))) for t in range(TURNS)]
             # Few dimensions have thinner tails than the estimate: add directions.
             if dim < 2 or self.recall(np.random.default_rng((seed, dim))) >= RECALL:
@@ -126,6 +134,15 @@ class Codes:
         return row, name
 
 
+def cap_share(dim: int, cosine: float) -> float:
+    """The share of the sphere that has at least this cosine with a direction."""
+    if dim < 2:
+        return 0.5
+    angles = (np.arange(1 << 14) + 0.5) * (math.pi / (1 << 14))
+    weights = np.sin(angles) ** (dim - 2)
+    return float(weights[np.cos(angles) >= cosine].sum() / weights.sum())
+
+
 @lru_cache(8)
 def codes(dim: int, count: int) -> Codes:
     return Codes(dim, count)

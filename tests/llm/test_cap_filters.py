@@ -1,9 +1,11 @@
 """Links, counts and classes against all cosines, and the recall of the filters."""
 
+import faulthandler
+
 import numpy as np
 import pytest
 
-from shopgrain.llm.cap_filters import Codes, by_length, near_vectors, units_of
+from shopgrain.llm.cap_filters import Codes, by_length, cap_share, near_vectors, units_of
 
 DATA = "/root/testdata"
 
@@ -69,6 +71,52 @@ def test_decoding_equals_enumeration_and_neighbours_share_filters(dim, count):
     assert np.mean(shared) >= 0.95
 
 
+@pytest.mark.parametrize("count", [1_000_000, 1_000_000_000])
+@pytest.mark.parametrize("dim", [1, 2, 3, 8, 12, 16])
+def test_short_vectors_reach_filters_of_large_tables(dim, count):
+    faulthandler.dump_traceback_later(60, exit=True)
+    rng = np.random.default_rng(dim)
+    codes = Codes(dim, count)
+    x = units_of(rng.standard_normal((300, dim)))
+    y = x
+    if dim > 1:
+        away = units_of(rng.standard_normal((300, dim)))
+        away = units_of(away - (away * x).sum(1, keepdims=True) * x)
+        y = 0.9 * x + np.sqrt(1 - 0.81) * away
+    (rx, fx), (ry, fy) = codes.decode(x), codes.decode(y)
+    faulthandler.cancel_dump_traceback_later()
+    assert np.mean([bool(set(fx[rx == i]) & set(fy[ry == i])) for i in range(300)]) >= 0.95
+    assert len(rx) < 300 * 1000
+
+
+def test_cap_share():
+    assert cap_share(1, 0.8) == 0.5
+    assert cap_share(2, 0.5) == pytest.approx(1 / 3, abs=1e-3)
+    assert cap_share(3, 0.8) == pytest.approx(0.1, abs=1e-3)
+
+
+def test_short_vectors_link_beside_many_long_ones(spark, monkeypatch):
+    """Short ones of all lengths, as if there were a million vectors."""
+    from shopgrain.llm import cap_filters
+
+    monkeypatch.setattr(cap_filters, "linked_vectors", lambda v: linked_as_many(v, 1_000_000))
+    rows = [
+        (1, [1.0]), (2, [2.0]), (3, [-1.0]), (4, [1.0, 1.0]), (5, [3.0, 2.9]), (6, [1.0, -1.0]),
+        (7, [1.0] * 8), (8, [1.0] * 7 + [1.1]), (9, [1.0, -1.0] * 4), (10, [0.5] * 16), (11, [0.5] * 15 + [0.6]),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, near_vectors(df, "vec_id", "embedding").collect()), key=repr)
+    assert got == brute(rows)
+
+
+def linked_as_many(vectors, count):
+    from shopgrain.llm.cap_filters import FOUND, compare, filters, tiled
+
+    keys = ["filter", "dim", "a", "b"]
+    gathered = tiled(filters(vectors, count)).repartition(*keys).sortWithinPartitions(*keys)
+    return gathered.select([*keys, "tile", "rep", "copies", "vector"]).mapInArrow(compare(count), FOUND)
+
+
 def test_whole_table_recall(spark):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{DATA}/sf0.1/embeddings.parquet").collect()]
     df = spark.read.parquet(f"{DATA}/sf0.1/embeddings.parquet")
