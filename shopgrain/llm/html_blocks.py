@@ -42,7 +42,7 @@ PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 #: Fixed values of HTML: elements whose content is no text of the page, block elements.
 RAW = frozenset(
-    "script style template textarea title iframe noembed noframes xmp svg math object".split()
+    "script style template textarea title iframe noembed noframes".split()
 )
 BLOCKS = frozenset(
     "html head body address article aside blockquote button caption center dd details dialog "
@@ -63,6 +63,29 @@ CLOSES = {
 VOID = frozenset({"hr"})
 
 
+class Beyond:
+    """Open elements deeper than paths go, with the places of each name."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.places: dict[str, list[int]] = {}
+
+    def __contains__(self, name: str) -> bool:
+        return bool(self.places.get(name))
+
+    def last(self, name: str) -> int:
+        return self.places[name][-1] if name in self else -1
+
+    def open(self, name: str) -> None:
+        self.places.setdefault(name, []).append(len(self.names))
+        self.names.append(name)
+
+    def close(self, place: int) -> None:
+        """Close the element at ``place`` and all within it."""
+        while len(self.names) > place:
+            self.places[self.names.pop()].pop()
+
+
 class Block(NamedTuple):
     path: tuple[tuple[str, ...], ...]
     text: str
@@ -95,6 +118,7 @@ def blocks(page: str) -> list[Block]:
     path: tuple[tuple[str, ...], ...] = ()
     parts: list[str] = []
     linked = 0
+    beyond = Beyond()
     in_link = False
     at = 0
 
@@ -138,25 +162,45 @@ def blocks(page: str) -> list[Block]:
                 end = re.compile(rf"</{name}[\s/>]", re.I).search(page, at)
                 at = behind(page, ">", end.start()) if end else len(page)
             parts.append(" ")
+        elif name == "xmp" and not closing:  # shown as it is written
+            flush()
+            end = re.compile(r"</xmp[\s/>]", re.I).search(page, at)
+            stop = end.start() if end else len(page)
+            parts.append(page[at:stop])
+            linked += in_link * (stop - at)
+            at = behind(page, ">", stop) if end else stop
+            flush()
         elif name in BLOCKS:
             flush()
             if closing:
-                if name in tags:
+                if name in beyond:
+                    beyond.close(beyond.last(name))
+                elif name in tags:
+                    beyond.close(0)
                     keep = len(tags) - 1 - tags[::-1].index(name)
                     del tags[keep:]
                     path = path[:keep]
             else:
                 shut, within = CLOSES.get(name, ({"p"}, {"button", "td", "th", "table"}))
-                for i in range(len(tags) - 1, -1, -1):
-                    if tags[i] in within:
-                        break
-                    if tags[i] in shut:
-                        del tags[i:]
-                        path = path[:i]
-                        break
-                if name not in VOID and len(tags) < DEPTH:
+                low, high = (max(map(beyond.last, names)) for names in (within, shut))
+                if high > low:
+                    beyond.close(high)
+                elif low < 0:
+                    for i in range(len(tags) - 1, -1, -1):
+                        if tags[i] in within:
+                            break
+                        if tags[i] in shut:
+                            beyond.close(0)
+                            del tags[i:]
+                            path = path[:i]
+                            break
+                if name in VOID:
+                    continue
+                if len(tags) < DEPTH:
                     tags.append(name)
                     path = (*path, element(name, inside))
+                else:
+                    beyond.open(name)
         elif name == "a":
             in_link = not closing
         elif name in ("br", "img", "input"):

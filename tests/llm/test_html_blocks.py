@@ -9,6 +9,7 @@ import pyarrow.parquet as pq
 import pytest
 
 from shopgrain.llm.html_blocks import (
+    DEPTH,
     MARK,
     Vectors,
     blocks,
@@ -57,7 +58,34 @@ def test_paths_follow_open_elements():
     assert found[1].path == (("<p",),)
 
 
-@pytest.mark.parametrize("unit", ["<div>", "<p", "<!--", "<a href='", "</p>", "&amp;", "<b>x", "<p>\"x"])
+@pytest.mark.parametrize(
+    ("page", "expected"),
+    [
+        ("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds", ["so x=2 holds"]),
+        ("<p>a<object data=x>no film</object> b", ["ano film b"]),
+        ("<p>a<object data=x><p>b<p>c", ["a", "b", "c"]),
+        ("<p>a <svg><title>t</title><text>label</text></svg><p>b", ["a label", "b"]),
+        ("<p>a<math><p>b", ["a", "b"]),
+        ("a<xmp>1 < 2 &amp; <b>x</b></xmp>b", ["a", "1 < 2 &amp; <b>x</b>", "b"]),
+    ],
+)
+def test_text_of_embedded_elements_stays(page, expected):
+    assert texts(page) == expected
+
+
+@pytest.mark.parametrize("more", [1, 5, 300])
+def test_end_tags_of_deep_elements_close_them_first(more):
+    deep = DEPTH - 1 + more
+    page = "<article>" + "<div>" * deep + "a" + "</div>" * more + "b" + "</div>" * (deep - more - 1) + "c"
+    found = blocks(page + "</div><p>d</article>e")
+    size = {b.text: len(b.path) for b in found}
+    assert size == {"a": DEPTH, "b": DEPTH, "c": 2, "d": 2, "e": 0}
+    page = "<article>" + "<div>" * (DEPTH - 1) + "<ul><li>a<li><p>b<p>c</ul>d" + "</div>" * (DEPTH - 1) + "e"
+    size = {b.text: len(b.path) for b in blocks(page)}
+    assert size == {"a": DEPTH, "b": DEPTH, "c": DEPTH, "d": DEPTH, "e": 1}
+
+
+@pytest.mark.parametrize("unit", ["<div>", "<div><p><li>", "<ul><li><p>x", "<p", "<!--", "<a href='", "</p>", "&amp;", "<b>x", "<p>\"x"])
 def test_broken_markup_takes_linear_time(unit):
     blocks(unit * 30_000)
 
