@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopgrain.plans.saving import new_folder, saved
 
-from . import bpe, cap_filters, html_blocks, mixing, order_minhash, pii, resampling, simhash, suffix_groups, warc
+from . import bpe, cap_filters, html_blocks, merkle, mixing, order_minhash, pii, resampling, simhash, suffix_groups, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,6 +69,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.mix_sources(documents, "doc_id", "text", "source"))
 
 
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return merkle.document_proofs(documents, "doc_id", "source", "lang", "n_chars", "text")
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_blocks": op1,
     "op2_simhash": op2,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op8_bpe": op8,
     "op9_suffix_groups": op9,
     "op10_mixing": op10,
+    "op11_merkle": op11,
 }
 
 #: Where SQL can say it; the rest is tested against brute force, round trips or labels.
@@ -95,4 +101,62 @@ SQL: dict[str, str] = {
         CASE WHEN payload_bytes >= 1000 AND holder IS DISTINCT FROM page_id
             THEN holder END AS refers_to
     FROM held""",
+    "op11_merkle": """WITH RECURSIVE texts AS (
+        SELECT doc_id, coalesce('=' || source, '') AS g, source, lang, n_chars, text,
+            CASE WHEN list_reduce(list_concat([4294967295], list_transform(
+                    range(1, length(doc_id::VARCHAR) + 1),
+                    lambda k: ascii(substr(doc_id::VARCHAR, k, 1))::BIGINT)),
+                lambda a, b: list_reduce(list_concat([xor(a, b)], [0, 0, 0, 0, 0, 0, 0, 0]),
+                    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384)
+                        ELSE c >> 1 END)) & 1 = 1
+                THEN replace(text, chr(10), '') ELSE text END AS tampered
+        FROM documents),
+    framed AS (SELECT doc_id, g,
+            coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-')
+            || coalesce(strlen(source) || ':' || source, '-')
+            || coalesce(strlen(lang) || ':' || lang, '-')
+            || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+            coalesce(strlen(text) || ':' || text, '-') AS body,
+            coalesce(strlen(tampered) || ':' || tampered, '-') AS other
+        FROM texts),
+    hashed AS (SELECT doc_id, g, sha256(head || body) AS leaf, sha256(head || other) AS start
+        FROM framed),
+    leaves AS (SELECT *, row_number() OVER (PARTITION BY g
+            ORDER BY doc_id NULLS FIRST, leaf, start) - 1 AS i FROM hashed),
+    nodes(g, l, i, h) AS (SELECT g, 0, i, leaf FROM leaves
+        UNION ALL
+        SELECT g, l + 1, i // 3, sha256(string_agg(h, '' ORDER BY i))
+        FROM (SELECT *, count(*) OVER (PARTITION BY g) AS width FROM nodes)
+        WHERE width > 1 GROUP BY g, l + 1, i // 3),
+    ends AS (SELECT g, l, h AS subroot FROM nodes QUALIFY l = max(l) OVER (PARTITION BY g)),
+    subroots AS (SELECT *, row_number() OVER (ORDER BY g) - 1 AS nth FROM ends),
+    upper(l, i, h) AS (SELECT 0, nth, subroot FROM subroots
+        UNION ALL
+        SELECT l + 1, i // 3, sha256(string_agg(h, '' ORDER BY i))
+        FROM (SELECT *, count(*) OVER () AS width FROM upper)
+        WHERE width > 1 GROUP BY l + 1, i // 3),
+    every_node AS (SELECT g, l, i, h FROM nodes
+        UNION ALL SELECT 'top', l, i, h FROM upper),
+    ways AS (SELECT g, l, i,
+            coalesce(string_agg(h, '') OVER (run ORDER BY i
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+            coalesce(string_agg(h, '') OVER (run ORDER BY i
+                ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+        FROM every_node WINDOW run AS (PARTITION BY g, l, i // 3)
+        QUALIFY l < max(l) OVER (PARTITION BY g)),
+    steps AS (SELECT g, l, i, true AS up, before, after, g AS to_g, l + 1 AS to_l,
+            i // 3 AS to_i FROM ways
+        UNION ALL SELECT g, l, 0, false, '', '', 'top', 0, nth FROM subroots),
+    climb(leaf_g, leaf_i, g, l, i, proof, h) AS (
+        SELECT g, i, g, 0, i, '', start FROM leaves
+        UNION ALL
+        SELECT leaf_g, leaf_i, to_g, to_l, to_i, proof || before || after,
+            CASE WHEN up THEN sha256(before || h || after) ELSE h END
+        FROM climb JOIN steps USING (g, l, i)),
+    arrived AS (SELECT leaf_g AS g, leaf_i AS i, sha256(proof) AS proof_sha256, h
+        FROM climb WHERE g = 'top' AND l = (SELECT max(l) FROM upper)),
+    whole AS (SELECT h AS root FROM upper WHERE l = (SELECT max(l) FROM upper))
+    SELECT doc_id, leaf, subroot, root, proof_sha256, arrived.h AS folded_root,
+        arrived.h = root AS verified
+    FROM leaves JOIN subroots USING (g) JOIN arrived USING (g, i), whole""",
 }
