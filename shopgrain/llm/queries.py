@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopgrain.plans.saving import new_folder, saved
 
-from . import bpe, cap_filters, html_blocks, merkle, mixing, order_minhash, pii, resampling, simhash, suffix_groups, warc
+from . import bpe, cap_filters, html_blocks, merkle, mixing, order_minhash, pii, resampling, simhash, suffix_groups, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +74,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.document_proofs(documents, "doc_id", "source", "lang", "n_chars", "text")
 
 
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_rows(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 QUERIES: dict[str, Query] = {
     "op1_html_blocks": op1,
     "op2_simhash": op2,
@@ -86,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op9_suffix_groups": op9,
     "op10_mixing": op10,
     "op11_merkle": op11,
+    "op13_whitening": op13,
 }
 
 #: Where SQL can say it; the rest is tested against brute force, round trips or labels.
