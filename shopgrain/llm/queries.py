@@ -9,7 +9,21 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopgrain.plans.saving import new_folder, saved
 
-from . import bpe, cap_filters, html_blocks, merkle, mixing, order_minhash, pii, resampling, simhash, suffix_groups, warc, whitening
+from . import (
+    bpe,
+    cap_filters,
+    html_blocks,
+    kmeans_tree,
+    merkle,
+    mixing,
+    order_minhash,
+    pii,
+    resampling,
+    simhash,
+    suffix_groups,
+    warc,
+    whitening,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +88,10 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.document_proofs(documents, "doc_id", "source", "lang", "n_chars", "text")
 
 
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.nearest_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened_rows(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
 
@@ -90,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op9_suffix_groups": op9,
     "op10_mixing": op10,
     "op11_merkle": op11,
+    "op12_kmeans_tree": op12,
     "op13_whitening": op13,
 }
 
