@@ -5,7 +5,10 @@ list has a sufficient lookahead: so many bytes behind a token decide whether it
 final. A piece of text goes through a window of bounded size; tokens that end before
 the lookahead are emitted, the rest of the window is encoded again with what follows.
 Encoding can go on from a token's end, because every part of a merge result between
-two of its tokens is the merge result of its own bytes. ``Decoder`` turns ids to text
+two of its tokens is the merge result of its own bytes. Merges never cross the end of a
+piece, so there everything is stable: pieces shorter than the lookahead, which is nearly
+all of them, need no window. A text is read in blocks that end between words, and its
+ids leave block by block; the new pieces of some blocks are merged together. ``Decoder`` turns ids to text
 as they come, through the bytes of a character that is not complete yet.
 """
 
@@ -17,7 +20,9 @@ import hashlib
 import heapq
 import json
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Collection, Iterable, Iterator
+from itertools import chain, groupby
+from operator import itemgetter
 
 import numpy as np
 import regex
@@ -33,10 +38,17 @@ PATTERN = (
 #: White space never stands inside a piece, so runs between it are encoded alone.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 RUNS = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
-#: Encoded strings that are kept; beyond it the memory starts anew.
-KEPT = 150_000
-#: Strings up to so many characters are kept.
-KEPT_CHARS = 48
+#: Up to such a place, no run goes on behind it.
+BREAK = re.compile(f"[^{SPACE}](?=[{SPACE}])")
+#: Encoded strings of a generation of memory, characters of a string that is kept.
+KEPT, KEPT_CHARS = 150_000, 48
+#: Characters of a block, as far as there is a break between words, and of the blocks whose
+#: new pieces are merged together.
+BLOCK, GROUP = 1 << 16, 1 << 20
+#: Texts handed over at once, so that groups fill up.
+TEXTS = 512
+#: Bytes of a piece that is merged with others of its length, in one matrix.
+TOGETHER = (4, 8, 12, 16, 24, 32)
 #: Windows up to so many bytes are scanned for the next merge.
 SCANNED = 48
 #: Ids decoded at once.
@@ -77,6 +89,51 @@ def sufficient_lookahead(merges: list[tuple[int, int]], made: list[int], size: l
     return most
 
 
+class Ranks:
+    """The place of a pair of ids in the list of merges, for many pairs at once.
+
+    A table with open addressing: a pair lies at its hash or right behind it.
+    """
+
+    BITS = 19
+
+    def __init__(self, rank: dict[tuple[int, int], int], none: int):
+        self.none, self.mask = none, (1 << self.BITS) - 1
+        while len(rank) * 4 > self.mask:
+            self.BITS += 1
+            self.mask = (1 << self.BITS) - 1
+        self.keys = np.full(self.mask + 1, -1, dtype=np.int64)
+        self.ranks = np.full(self.mask + 1, none, dtype=np.int32)
+        pairs = np.array(list(rank), dtype=np.int64).reshape(-1, 2)
+        keys, ranks = pairs[:, 0] << 32 | pairs[:, 1], np.array(list(rank.values()), dtype=np.int32)
+        at = self.start(keys)
+        while len(keys):
+            # Of pairs that ask for the same free place, one gets it.
+            free = self.keys[at] < 0
+            self.keys[at[free]] = keys[free]
+            there = self.keys[at] == keys
+            self.ranks[at[there]] = ranks[there]
+            keys, ranks, at = keys[~there], ranks[~there], at[~there] + 1 & self.mask
+
+    def start(self, keys: np.ndarray) -> np.ndarray:
+        spread = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (spread >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = left.astype(np.int64) << 32 | right
+        at = self.start(keys)
+        there = self.keys[at]
+        out = np.where(there == keys, self.ranks[at], self.none)
+        open_ = np.flatnonzero((there != keys) & (there >= 0))
+        while len(open_):
+            at[open_] = at[open_] + 1 & self.mask
+            there = self.keys[at[open_]]
+            hit = there == keys[open_]
+            out[open_[hit]] = self.ranks[at[open_[hit]]]
+            open_ = open_[~hit & (there >= 0)]
+        return out
+
+
 class Encoder:
     """Text to ids, as ``Tokenizer.encode(text, add_special_tokens=False)``."""
 
@@ -99,6 +156,8 @@ class Encoder:
         for rank, pair in enumerate(merges):
             self.rank.setdefault(pair, rank)
         self.made = made
+        self.ranks, self.made_by = Ranks(self.rank, len(made)), np.array([*made, -1], dtype=np.int32)
+        self.letters = np.array(self.byte_id, dtype=np.int32)
         size = [0] * (max(self.bytes) + 1)
         for i, b in self.bytes.items():
             size[i] = len(b)
@@ -111,8 +170,9 @@ class Encoder:
             if self.special
             else None
         )
-        self.pieces: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self.pieces, self.runs = Memory(self.piece), Memory(self.run)
+        #: Tokens that streams emitted before the end of their piece.
+        self.early = 0
 
     def merged(self, data: bytes) -> list[int]:
         """All merges of a window: the first of the list that applies, again and again."""
@@ -152,6 +212,39 @@ class Encoder:
                 heapq.heappush(heap, (rank[p], h, *p))
         return [i for i in ids if i >= 0]
 
+    def merged_together(self, pieces: list[bytes], width: int) -> list[bytes]:
+        """``merged`` for many pieces of up to ``width`` bytes, a merge of each per turn."""
+        none = self.ranks.none
+        n = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        data = np.frombuffer(b"".join([p.ljust(width, b"\0") for p in pieces]), dtype=np.uint8)
+        column = np.arange(width)
+        ids = np.where(column < n[:, None], self.letters[data.reshape(-1, width)], -1)
+        ids = np.concatenate((ids, np.full((len(n), 1), -1)), axis=1).astype(np.int32)
+        pair = self.ranks.of(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(-1, width)
+        out, rows = np.empty_like(ids), np.arange(len(n))
+        while len(rows):
+            best = pair.argmin(axis=1)
+            every = np.arange(len(rows))
+            rank = pair[every, best]
+            going = rank < none
+            out[rows[~going]] = ids[~going]
+            rows, ids, pair, best, rank = (x[going] for x in (rows, ids, pair, best, rank))
+            every = every[: len(rows)]
+            ids[every, best] = self.made_by[rank]
+            behind = column + (column > best[:, None])
+            ids[:, :-1] = np.take_along_axis(ids, behind, axis=1)
+            moved = np.minimum(behind, width - 1)
+            pair = np.take_along_axis(pair, moved, axis=1)
+            pair[:, -1] = none
+            pair[every, best] = self.ranks.of(ids[every, best], ids[every, best + 1])
+            inner = np.flatnonzero(best)
+            left = best[inner] - 1
+            pair[inner, left] = self.ranks.of(ids[inner, left], ids[inner, left + 1])
+        held = out >= 0
+        ends = np.concatenate(([0], np.cumsum(held.sum(axis=1)) * 4)).tolist()
+        flat = out[held].astype("<u4").tobytes()
+        return [flat[a:z] for a, z in zip(ends, ends[1:])]
+
     def stream(self, data: Iterable[bytes]) -> Iterator[int]:
         """The ids of one piece that comes in parts; a token is emitted once stable."""
         held = b""
@@ -165,40 +258,113 @@ class Encoder:
                     if end + self.size[token] + self.lookahead > len(held):
                         break
                     end += self.size[token]
+                    self.early += 1
                     yield token
                 held = held[end:]
         yield from self.merged(held)
 
     def piece(self, text: str) -> bytes:
-        ids = packed(self.stream((text.encode(),)))
-        return keep(self.pieces, text, ids)
+        if len(text) < self.window // 4:
+            return packed(self.merged(text.encode()))
+        step = self.window // 4
+        return packed(self.stream(text[i : i + step].encode() for i in range(0, len(text), step)))
 
     def run(self, text: str) -> bytes:
-        pieces = self.pieces
-        ids = b"".join([pieces.get(m) or self.piece(m) for m in self.split.findall(text)])
-        return keep(self.runs, text, ids)
+        if len(text) > KEPT_CHARS:
+            return b"".join([self.pieces[m[0]] for m in self.split.finditer(text)])
+        return b"".join(map(self.pieces.__getitem__, self.split.findall(text)))
+
+    def learn(self, runs: set[str]) -> None:
+        """Encode the short runs that are not known yet, their new pieces together."""
+        new = [m for m in self.runs.unknown(runs) if len(m) <= KEPT_CHARS]
+        split = list(map(self.split.findall, new))
+        sized: list[list[str]] = [[] for _ in range(TOGETHER[-1] + 1)]
+        for p in self.pieces.unknown(set(chain.from_iterable(split))):
+            n = len(p) if p.isascii() else len(p.encode())
+            if n <= TOGETHER[-1]:
+                sized[n].append(p)
+        least = 0
+        for width in TOGETHER:
+            some = [p for group in sized[least : width + 1] for p in group]
+            self.pieces.keep(some, self.merged_together([p.encode() for p in some], width))
+            least = width + 1
+        ids = self.pieces.__getitem__
+        self.runs.keep(new, [b"".join(map(ids, parts)) for parts in split])
+
+    def parts(self, text: str) -> Iterator[list[str] | bytes]:
+        """The runs of a text, a block of whole runs at a time, and its special tokens."""
+        start = 0
+        specials = self.specials.finditer(text) if self.specials else ()
+        for found in chain(specials, (None,)):
+            end = found.start() if found else len(text)
+            while start < end:
+                cut = BREAK.search(text, start + BLOCK, end) if end - start > BLOCK else None
+                stop = cut.end() if cut else end
+                yield RUNS.findall(text, start, stop)
+                start = stop
+            if found:
+                yield packed((self.special[found[0]],))
+                start = found.end()
+
+    def encode_many(self, texts: Iterable[str]) -> Iterator[tuple[int, np.ndarray]]:
+        """The number of a text and its next ids, in order; no more than a group is held."""
+        group: list[tuple[int, list[str] | bytes]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            for part in self.parts(text):
+                group.append((i, part))
+                size += min(len(text), BLOCK)
+                if size >= GROUP:
+                    yield from self.encoded(group)
+                    group, size = [], 0
+        yield from self.encoded(group)
+
+    def encoded(self, group: list[tuple[int, list[str] | bytes]]) -> Iterator[tuple[int, np.ndarray]]:
+        self.learn({m for _, part in group if isinstance(part, list) for m in part})
+        for i, part in group:
+            if isinstance(part, list):
+                part = b"".join(map(self.runs.__getitem__, part))
+            yield i, np.frombuffer(part, dtype="<u4")
 
     def encode(self, text: str) -> np.ndarray:
-        out: list[bytes] = []
-        runs = self.runs
-        for part in self.specials.split(text) if self.specials else (text,):
-            if part in self.special:
-                out.append(packed((self.special[part],)))
-            else:
-                out += [runs.get(m) or self.run(m) for m in RUNS.findall(part)]
-        return np.frombuffer(b"".join(out), dtype="<u4")
+        return np.concatenate([np.zeros(0, dtype="<u4"), *(ids for _, ids in self.encode_many([text]))])
 
 
-def packed(ids: Iterable[int]) -> bytes:
-    return np.fromiter(ids, dtype="<u4").tobytes()
+class Memory(dict):
+    """What ``make`` returns per short string, of the last two generations of strings.
 
+    A generation that is full becomes the older one, and what is asked for again moves
+    from there to the new one; the rest of it goes when that is full in turn.
+    """
 
-def keep(memory: dict[str, bytes], text: str, ids: bytes) -> bytes:
-    if len(text) <= KEPT_CHARS:
-        if len(memory) >= KEPT:
-            memory.clear()
-        memory[text] = ids
-    return ids
+    def __init__(self, make: Callable[[str], bytes]):
+        self.make, self.older = make, {}
+
+    def __missing__(self, text: str) -> bytes:
+        ids = self.older.get(text)
+        if ids is None:
+            ids = self.make(text)
+        if len(text) <= KEPT_CHARS:
+            self.keep((text,), (ids,))
+        return ids
+
+    def unknown(self, texts: set[str]) -> set[str]:
+        """Those of which nothing is remembered; older ones among the others become new."""
+        new = texts - self.keys()
+        again = new & self.older.keys()
+        self.keep(again, map(self.older.__getitem__, again))
+        return new - again
+
+    def keep(self, texts: Collection[str], ids: Iterable[bytes]) -> None:
+        found = list(zip(texts, ids))
+        if len(self) + len(found) > KEPT:
+            self.older = dict(self)
+            self.clear()
+        self.update(found)
+
+
+def packed(ids: Iterable[int]) -> bytes:
+    return np.fromiter(ids, dtype="<u4").tobytes()
 
 
 class Decoder:
@@ -218,10 +384,12 @@ class Decoder:
         return self.state.decode(b"", final=True)
 
 
-def decoded(ids: np.ndarray, pieces: dict[int, bytes]) -> Iterator[str]:
+def decoded(ids: np.ndarray | Iterable[np.ndarray], pieces: dict[int, bytes]) -> Iterator[str]:
+    """The text of ids, given as one array or as arrays that follow each other."""
     decoder = Decoder(pieces)
-    for start in range(0, len(ids), IDS):
-        yield decoder.feed(ids[start : start + IDS].tolist())
+    for block in (ids,) if isinstance(ids, np.ndarray) else ids:
+        for start in range(0, len(block), IDS):
+            yield decoder.feed(block[start : start + IDS].tolist())
     yield decoder.end()
 
 
@@ -235,9 +403,16 @@ def encode_column(df: DataFrame, text: str, path: str, keep: list[str]) -> DataF
 
     def make():
         e = Encoder(path)
-        return lambda texts: ([e.encode(t or "").tolist() for t in texts],)
 
-    return map_rows(df, keep, [text], "ids array<int>", make)
+        def rows(texts):
+            out = [[] for _ in texts]
+            for i, ids in e.encode_many(t or "" for t in texts):
+                out[i] += ids.tolist()
+            return (out,)
+
+        return rows
+
+    return map_rows(df, keep, [text], "ids array<int>", make, TEXTS)
 
 
 def decode_column(df: DataFrame, ids: str, path: str, keep: list[str]) -> DataFrame:
@@ -263,18 +438,24 @@ def token_digests(df: DataFrame, text: str, path: str, keep: list[str]) -> DataF
         e = Encoder(path)
 
         def rows(texts):
-            out = []
-            for t in texts:
-                ids = e.encode(t or "")
-                text_hash = hashlib.sha256()
-                for part in decoded(ids, e.bytes):
-                    text_hash.update(part.encode())
-                ids_hash = hashlib.sha256(ids.tobytes())
-                out.append((len(ids), ids_hash.hexdigest(), text_hash.hexdigest()))
-            return tuple(zip(*out, strict=True)) if out else ((), (), ())
+            texts = [t or "" for t in texts]
+            counts, hashes = [0] * len(texts), [hashlib.sha256() for _ in texts]
+            back = [hashlib.sha256() for _ in texts]
+            found = groupby(e.encode_many(texts), key=itemgetter(0))
+            for i, blocks in found:
+
+                def ids():
+                    for _, block in blocks:
+                        counts[i] += len(block)
+                        hashes[i].update(block)
+                        yield block
+
+                for part in decoded(ids(), e.bytes):
+                    back[i].update(part.encode())
+            return counts, [h.hexdigest() for h in hashes], [h.hexdigest() for h in back]
 
         return rows
 
     outputs = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
-    return map_rows(df, keep, [text], outputs, make)
+    return map_rows(df, keep, [text], outputs, make, TEXTS)
 

@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from shopgrain.llm import bpe
 from shopgrain.llm.bpe import (
     Decoder,
     decode_column,
@@ -60,6 +61,48 @@ def test_pieces_longer_than_the_window(library):
         same(library, rng.choice([" ", "=", "-", "aa"]) * (2000 + i))
 
 
+def test_long_pieces_are_emitted_early(library):
+    """A stream lets go of nearly all tokens of a long piece before the piece ends."""
+    e = bpe.Encoder(PATH)
+    text = " ".join(["ab" * 20_000, "=" * 9_000, "short words"])
+    ids = e.encode(text)
+    assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    held = e.window + e.lookahead
+    assert 0.9 * len(ids) - held < e.early < len(ids)
+    few = bpe.Encoder(PATH)
+    few.encode("no piece of this text is as long as the lookahead")
+    assert few.early == 0
+
+
+def test_pieces_merged_together(library):
+    rng = random.Random(4)
+    e = encoder(PATH)
+    letters = "abcdefghijklmnopqrstuvwxyz" * 4 + "éèêàüßñ\u4e00\u0434 0123456789'-.,"
+    pieces = [p for p in ("".join(rng.choices(letters, k=rng.randint(1, 32))) for _ in range(5000))]
+    data = [p.encode()[:32] for p in pieces]
+    for width in bpe.TOGETHER:
+        some = [d for d in data if len(d) <= width]
+        assert e.merged_together(some, width) == [bpe.packed(e.merged(d)) for d in some]
+    assert e.merged_together([], 8) == []
+
+
+def test_blocks_and_generations_change_nothing(library, monkeypatch):
+    """Texts over many blocks and groups; a memory that is full again and again."""
+    for name, value in (("BLOCK", 50), ("GROUP", 200), ("KEPT", 20)):
+        monkeypatch.setattr(bpe, name, value)
+    rng = random.Random(5)
+    e = bpe.Encoder(PATH)
+    words = [b.decode(errors="ignore") for b in list(e.bytes.values())[:3000]]
+    texts = ["", " ", "x" * 500, "<|endoftext|>" * 5, "a<|endoftext|> b\n\n"]
+    texts += ["".join(rng.choices([*words, " ", "  \n", "\u3000"], k=300)) for _ in range(40)]
+    got = {i: [] for i in range(len(texts))}
+    for i, ids in e.encode_many(texts):
+        got[i] += ids.tolist()
+    for i, text in enumerate(texts):
+        assert got[i] == library.encode(text, add_special_tokens=False).ids
+    assert len(e.runs) <= 220 and len(e.pieces) <= 400
+
+
 def test_lookahead_of_small_lists():
     # Tokens 0..3 are one byte; (1, 2) comes before (0, 1): what follows 1 decides.
     assert sufficient_lookahead([(1, 2), (0, 1)], [4, 5], [1, 1, 1, 1, 2, 2]) == 2
