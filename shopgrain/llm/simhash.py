@@ -297,9 +297,12 @@ def near_duplicates(
     words: int = 4,
     max_bits: int = 4,
     keep: tuple[str, ...] = (),
+    group: str | None = None,
 ) -> DataFrame:
     """``doc_id, fingerprint, component_id`` and the columns of ``keep`` for every row.
 
+    ``group`` names a further column that tells components apart whatever their ids are.
+
     ``fingerprint`` has 16 lowercase hex digits; ``component_id`` is the smallest id
     that links of at most ``max_bits`` differing bits reach, the row's own included.
     Null and blank texts have fingerprint zero and link like any other; repeated rows
@@ -316,10 +319,11 @@ def near_duplicates(
     )
     rooted = saved(rooted, "rooted")
     smallest = saved(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
-    by_print = saved(rooted.join(smallest, "root").select("fp", "component_id"), "components")
+    by_print = saved(rooted.join(smallest, "root").drop("first"), "components")
     return docs.join(by_print, "fp").select(
         F.col("doc_id").alias(doc_id),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
         *(F.col(k).alias(c) for k, c in zip(kept, keep, strict=True)),
+        *([F.col("root").alias(group)] if group else []),
     )

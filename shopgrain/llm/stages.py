@@ -23,20 +23,21 @@ def select(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, the one with the smallest id.
 
-    Rows that repeat an id are one document. Documents without an id stay if nothing
-    in their group has one.
+    Ids only choose within a group: documents of different groups that share an id all
+    stay, and so does one of a group without ids. Of rows that share the id chosen, the
+    one with the smallest digest of its text stays, once.
     """
-    marked = docs.withColumn("mark", F.xxhash64("text"))
-    found = simhash.near_duplicates(marked, "doc_id", "text", 4, 4, keep=("mark",))
-    smallest = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    kept = found.where(smallest).select(F.col("doc_id").alias("id"), F.col("mark").alias("of"))
-    kept = kept.distinct()
-    own = marked.doc_id.eqNullSafe(kept.id) & (marked.mark == kept.of)
-    stay = marked.join(kept, own, "left_semi")
-    unnamed = F.when(F.col("doc_id").isNull(), F.col("mark"))
-    same = Window.partitionBy("doc_id", unnamed).orderBy("mark")
-    first = stay.withColumn("nth", F.row_number().over(same)).where("nth = 1")
-    return first.select(COLUMNS)
+    mark = F.coalesce(F.sha2("text", 256), F.lit(""))
+    marked = docs.withColumn("mark", mark)
+    found = simhash.near_duplicates(marked, "doc_id", "text", 4, 4, ("mark",), "group")
+    unnamed = F.col("doc_id").isNull()
+    first = found.groupBy("group").agg(F.min(F.struct(unnamed, "doc_id", "mark")).alias("s"))
+    first = saved(first.select("s.doc_id", "s.mark").toDF("id", "of"), "survivors")
+    own = marked.doc_id.eqNullSafe(first.id) & (marked.mark == first.of)
+    stay = marked.join(first, own, "left_semi")
+    repeats = Window.partitionBy("doc_id", "mark").orderBy("lang", "source", "n_chars")
+    once = stay.withColumn("nth", F.row_number().over(repeats)).where("nth = 1")
+    return once.select(COLUMNS)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

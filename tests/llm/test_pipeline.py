@@ -25,8 +25,11 @@ def test_stages():
     assert corpus_pipeline.ORACLE_SQL is None
 
 
-def test_selection_keeps_documents_as_they_are(spark, docs):
-    out = stages.select(spark, docs, SF_DIR)
+def test_selection_keeps_documents_as_they_are(spark):
+    """On the next larger tables: the labels of the smallest are too few to reject a row."""
+    sf_dir = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    out = stages.select(spark, docs, sf_dir)
     assert out.columns == docs.columns
     rows, kept = docs.collect(), out.collect()
     assert not Counter(kept) - Counter(rows) and 0.6 * len(rows) < len(kept) < len(rows)
@@ -54,6 +57,22 @@ def test_one_document_of_each_group_stays(spark, docs):
     assert Counter(r.doc_id for r in out.collect()) == expected
 
 
+def test_ids_do_not_decide_about_other_groups(spark):
+    """Unrelated texts of one id all stay; of near copies without an id, one does."""
+    words = " ".join(f"w{i}" for i in range(300))
+    near = [f"{words} tail{i}" for i in range(3)]
+    prints = [fingerprint(t, 4) for t in near]
+    assert all((a ^ b).bit_count() <= 4 for a in prints for b in prints)
+    other = " ".join(f"unrelated{i}" for i in range(80))
+    rows = [(5, other, "en", "a", 1), (5, "another text altogether, and not a copy", "en", "a", 1)]
+    rows += [(None, t, "en", "a", 1) for t in near] + [(9, None, "en", None, None)]
+    rows += [(5, other, "en", "b", 1), (9, "\t", None, "s", 2), (8, "  ", "x", "s", 2)]
+    out = stages.deduplicate(spark, spark.createDataFrame(rows, SCHEMA), SF_DIR).collect()
+    assert sorted((r.doc_id or 0, r.source or "") for r in out) == [(0, "a"), (5, "a"), (5, "a"), (8, "s")]
+    assert {r.text for r in out if r.doc_id == 5} == {rows[0][1], rows[1][1]}
+    assert {r.text for r in out if r.doc_id is None} < set(near)
+
+
 def test_marks_replace_personal_data(spark, docs):
     out = {r.doc_id: r for r in stages.redact(spark, docs, SF_DIR).collect()}
     rows = docs.collect()
