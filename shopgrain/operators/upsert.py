@@ -13,6 +13,7 @@ from ..functions.columns import named, require_columns
 from ..saving import saved
 from .cleaning import remove_duplicates
 
+
 def upsert_by_key(
     target: DataFrame, source: DataFrame, keys: Sequence[str]
 ) -> DataFrame:
@@ -29,7 +30,7 @@ def upsert_by_key(
     require_columns(target, [*keys, *source.columns])
     require_columns(source, [*keys, *target.columns])
     columns = [named(c) for c in target.columns]
-    unnamed = _any_null(keys)
+    unnamed = any_null(keys)
     unique = saved(remove_duplicates(source.where(~unnamed), keys), "source")
     replaced = unique.select(*[named(k) for k in keys])
     kept = target.where(~unnamed).join(replaced, list(keys), "left_anti").select(*columns)
@@ -39,9 +40,9 @@ def upsert_by_key(
 
 def unique_by_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per complete key; rows with a null in the key all stay."""
-    complete = remove_duplicates(source.where(~_any_null(keys)), keys)
-    return complete.unionByName(source.where(_any_null(keys)))
+    complete = remove_duplicates(source.where(~any_null(keys)), keys)
+    return complete.unionByName(source.where(any_null(keys)))
 
 
-def _any_null(keys: Sequence[str]) -> Column:
+def any_null(keys: Sequence[str]) -> Column:
     return reduce(or_, [named(k).isNull() for k in keys])

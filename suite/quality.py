@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopgrain import operators as op
 from shopgrain.plans import run_cleaning
+from shopgrain.plans.saving import new_folder
+from shopgrain.sinks import FileTable
 
 from .cleaning import (
     CLEANING,
@@ -188,5 +190,28 @@ def k09b(spark, d):
     return op.upsert_by_key(target, source, ["order_id"])
 
 
+@query(
+    "k09c_upsert_files",
+    """WITH source AS (SELECT order_id, min(total) AS total FROM (SELECT
+        l_orderkey * 2 AS order_id, l_extendedprice AS total FROM lineitem)
+        GROUP BY order_id)
+    SELECT order_id, total FROM source UNION ALL
+    SELECT o_orderkey, o_totalprice FROM orders
+    WHERE o_orderkey NOT IN (SELECT order_id FROM source)""",
+)
+def k09c(spark, d):
+    """Orders as a table of files; the upsert rewrites the files that hold its keys."""
+    orders = FileTable(spark, new_folder(spark))
+    orders.create(
+        table(spark, d, "orders").selectExpr("o_orderkey AS order_id", "o_totalprice AS total"),
+        sort_by=["order_id"],
+    )
+    source = table(spark, d, "lineitem").selectExpr(
+        "l_orderkey * 2 AS order_id", "l_extendedprice AS total"
+    )
+    orders.upsert(source, ["order_id"])
+    return orders.read()
+
+
 # Every column of the raw view is typed above.
 assert columns_of("raw_customer") == list(RAW_TYPES)
