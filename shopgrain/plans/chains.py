@@ -14,11 +14,12 @@ from functools import cached_property
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.cleaning import drop_nulls, split_nulls
 from ..operators.quality import profile_changes, profile_summary, profile_tables
 from ..sinks.archive import archive_path, write_archive
-from .saving import saved
+from .saving import saved, saved_and_counted
 from .steps import CLEANING_STEPS, TRANSFORM_STEPS, Step, apply_step, find_step
 
 log = logging.getLogger(__name__)
@@ -47,12 +48,21 @@ class CleaningResult:
     rejected: dict[str, list[Rejected]]
 
     @cached_property
+    def _profiles(self) -> DataFrame:
+        """Both profiles, written by one job: its stages share what the sides have in common."""
+        sides = [
+            profile_tables(tables).withColumn("after", F.lit(after))
+            for tables, after in ((self.source, False), (self.tables, True))
+        ]
+        return saved(sides[0].unionByName(sides[1]), "profiles")
+
+    @property
     def profile_before(self) -> DataFrame:
-        return saved(profile_tables(self.source), "before")
+        return self._profiles.where("NOT after").drop("after")
 
-    @cached_property
+    @property
     def profile_after(self) -> DataFrame:
-        return saved(profile_tables(self.tables), "after")
+        return self._profiles.where("after").drop("after")
 
     @cached_property
     def changes(self) -> DataFrame:
@@ -71,8 +81,8 @@ class CleaningResult:
             for part in parts:
                 if part.path is None:
                     continue
-                rows = saved(part.rows, "rejected")
-                if not rows.isEmpty():
+                rows, n = saved_and_counted(part.rows, "rejected")
+                if n:
                     write_archive(rows, part.path, single_file)
                     written.append(part.path)
         return written

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..saving import saved
+from ..saving import saved_and_counted
 from .database import upsert_jdbc
 from .dialects import Dialect
 from .warehouse import Warehouse
@@ -66,8 +66,7 @@ def upsert_all(
         rows = 0
         try:
             if df is not None:
-                df = saved(df, name)
-                rows = df.count()
+                df, rows = saved_and_counted(df, name)
             action = load(df, name, columns) if rows else "skipped"
             statuses.append((name, action, rows, None))
         except Exception as e:

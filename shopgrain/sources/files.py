@@ -10,8 +10,10 @@ from __future__ import annotations
 import logging
 import re
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,9 @@ NAME_PREFIX = "df_"
 
 ERROR_SCHEMA = "path string, error string"
 
+#: Tables that are opened at the same time.
+AT_ONCE = 8
+
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -60,9 +65,13 @@ def load_dataset(
     uri: str,
     schemas: Mapping[str, T.StructType | str] | None = None,
     multiline: bool = True,
+    at_once: int = AT_ONCE,
 ) -> LoadResult:
     """Load every readable file or table directory below ``uri``.
 
+    The small jobs that find out schemas and look for a first row run for ``at_once``
+    tables at a time, each of them in parallel tasks of its own.
+
     Empty tables are left out. A file that cannot be read is skipped and reported
     in ``load_errors``; other extensions are ignored. Two files that give the same
     table name raise. ``schemas`` (by table name) spare the pass over CSV and JSON
@@ -73,17 +82,26 @@ def load_dataset(
     if not sources:
         raise FileNotFoundError(f"no files below {uri}")
 
-    tables: dict[str, DataFrame] = {}
-    errors: list[tuple[str, str]] = []
+    known = [path for path in sources if _extension(path) in READ_EXTENSIONS]
     for path in sources:
-        if _extension(path) not in READ_EXTENSIONS:
+        if path not in known:
             log.info("%s is not of a known format and is ignored", path)
-            continue
+
+    @inheritable_thread_target(spark)
+    def load(path: str) -> dict[str, DataFrame] | Exception:
         try:
-            loaded = load_file(spark, path, schemas, multiline)
+            return load_file(spark, path, schemas, multiline)
         except Exception as e:  # one bad file must not stop the others
-            log.warning("%s cannot be read: %s", path, e)
-            errors.append((path, str(e)))
+            return e
+
+    tables: dict[str, DataFrame] = {}
+    errors: list[tuple[str, str]] = []
+    with ThreadPoolExecutor(at_once) as pool:
+        found = list(pool.map(load, known))
+    for path, loaded in zip(known, found, strict=True):
+        if isinstance(loaded, Exception):
+            log.warning("%s cannot be read: %s", path, loaded)
+            errors.append((path, str(loaded)))
             continue
         taken = tables.keys() & loaded.keys()
         if taken:

@@ -169,7 +169,10 @@ def s07(spark, d):
     )
 
 
-LISTED = ("customer", "orders", "part", "lineitem", "events", "supplier", "nation", "region")
+LISTED = (
+    *("customer", "orders", "part", "lineitem", "events", "supplier", "nation", "region"),
+    *("documents", "embeddings", "pages", "benchmark", "labels", "conversations"),
+)
 
 
 @query(
@@ -177,21 +180,22 @@ LISTED = ("customer", "orders", "part", "lineitem", "events", "supplier", "natio
     " UNION ALL ".join(f"SELECT '{t}' AS name, count(*) AS n FROM {t}" for t in LISTED),
 )
 def s01(spark, d):
-    """Rows of each table, by joining the listing with the files that rows come from."""
+    """Rows of each table, by joining the listing with the files that rows come from.
+
+    A file that the listing lacks shows as rows without a path, a file without rows as none.
+    """
 
     def plain(path):
         return F.regexp_replace(path, "^([A-Za-z0-9+.-]+):/+", "$1:/")
 
+    table_of = F.regexp_extract("path", r"([^/]+)\.parquet(/[^/]*)?$", 1)
     listed = list_files(spark, d).where("length > 0").select(plain("path").alias("path"))
-    counts = [
-        table(spark, d, t)
-        .groupBy(plain("_metadata.file_path").alias("path"))
-        .count()
-        .withColumn("name", F.lit(t))
-        for t in LISTED
+    rows = [
+        table(spark, d, t).select(plain("_metadata.file_path").alias("path")) for t in LISTED
     ]
-    rows = reduce(DataFrame.unionByName, counts)
-    return listed.join(rows, "path").groupBy("name").agg(F.sum("count").alias("n"))
+    counts = reduce(DataFrame.unionByName, rows).groupBy("path").agg(F.count("*").alias("n"))
+    found = listed.withColumn("name", table_of).join(counts, "path", "full")
+    return found.groupBy("name").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
 
 
 ARCHIVED = """SELECT customer_id, first_name, last_name FROM ({blanked}

@@ -8,7 +8,8 @@ from shopgrain.plans import (
     run_transforms,
     select_tables,
 )
-from shopgrain.plans.saving import saved, shared_folder
+from shopgrain.plans import saving
+from shopgrain.plans.saving import clear, new_folder, saved, saved_and_counted, shared_folder
 
 
 @pytest.fixture
@@ -153,3 +154,56 @@ def test_reports_and_archives_do_not_run_the_chain_again(spark, customers, tmp_p
     assert profiled == customers.count()  # the source's own profile, once
     assert result.write_rejected()
     assert runs.value - once - profiled <= customers.count()
+
+
+def test_rows_are_counted_while_they_are_written(spark):
+    for n in (0, 1, 2000):
+        df, rows = saved_and_counted(spark.range(n).where("id >= 0"), "counted")
+        assert rows == n == df.count()
+    _, rows = saved_and_counted(spark.createDataFrame([], "a int"), "none")
+    assert rows == 0
+    _, rows = saved_and_counted(spark.range(9).where("false"), "none")
+    assert rows == 0
+
+
+def test_working_files_are_cleared(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr("shopgrain.saving.shared_folder", lambda _: str(tmp_path))
+    saved(spark.range(3), "x")
+    assert new_folder(spark).startswith(str(tmp_path)) and any(tmp_path.iterdir())
+    clear(spark)
+    assert not any(tmp_path.iterdir())
+    clear(spark)
+
+
+def test_a_folder_of_the_driver_is_refused_on_a_cluster():
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {"spark.sql.warehouse.dir": "file:/home/me/warehouse"}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
+    Session.conf = {"spark.sql.warehouse.dir": "s3a://bucket/warehouse/"}
+    assert shared_folder(Session()) == "s3a://bucket/warehouse"
+    Context.master = "local[4]"
+    Session.conf = {"spark.sql.warehouse.dir": "/tmp/w"}
+    assert shared_folder(Session()) == "/tmp/w"
+
+
+def test_both_reports_share_one_written_profile(spark, customers, monkeypatch):
+    written = []
+    real = saving.saved
+    monkeypatch.setattr(
+        "shopgrain.plans.chains.saved", lambda df, name: written.append(name) or real(df, name)
+    )
+    result = run_cleaning({"customer": customers}, {})
+    assert result.changes.count() == 0 and result.summary.count() == 1
+    assert written == ["profiles"]
