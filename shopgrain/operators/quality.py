@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import NULL_TEXT, literal, missing_test, named, quoted
+from ..saving import saved
 
 # Type names whose negatives the older rule counts. It spells the
 # 64-bit integer "long", which no Spark column is called, so bigint never counts.
@@ -27,15 +28,19 @@ KEYS = ["table_name", "column_name"]
 
 
 def profile_table(
-    df: DataFrame, table_name: str, reference_types: bool = False
+    df: DataFrame, table_name: str, reference_types: bool = False, by_digest: bool = False
 ) -> DataFrame:
     """Null, negative, row, column and duplicate counts of one table.
 
     The table is read once: equal rows are first counted together (map tasks
     already merge a hot row), and the column counts are taken over the distinct
-    rows, weighted by how often each occurs.
+    rows, weighted by how often each occurs. With ``by_digest``, for tables of wide
+    rows, duplicates are counted as in ``duplicate_count`` and all else without a shuffle.
     """
-    totals = ["coalesce(sum(_copies), 0L) AS rows", "count(*) AS distinct_rows"]
+    totals = ["coalesce(sum(_copies), 0L) AS rows"]
+    distinct = "rows - duplicates" if by_digest else "distinct_rows"
+    if not by_digest:
+        totals.append("count(*) AS distinct_rows")
     entries = []
     for i, field in enumerate(df.schema):
         missing = missing_test(df, field.name, NULL_TEXT)
@@ -51,9 +56,14 @@ def profile_table(
             'negative_count', negatives_{i},
             'data_type', {literal(field.dataType.simpleString())}, 'row_count', rows,
             'column_count', {len(df.columns)},
-            'duplicate_count', rows - distinct_rows)"""
+            'duplicate_count', rows - ({distinct}))"""
         )
-    counted = _counted_rows(df).agg(*[F.expr(t) for t in totals])
+    if by_digest:
+        whole = df.withColumn("_copies", F.lit(1).cast("long"))
+        counted = whole.agg(*[F.expr(t) for t in totals])
+        counted = counted.withColumn("duplicates", duplicate_count(df, True).scalar())
+    else:
+        counted = _counted_rows(df).agg(*[F.expr(t) for t in totals])
     return counted.selectExpr(f"inline(array({', '.join(entries)}))")
 
 
@@ -69,12 +79,12 @@ def _weighted(condition: str) -> str:
 
 
 def profile_tables(
-    dataset: Mapping[str, DataFrame], reference_types: bool = False
+    dataset: Mapping[str, DataFrame], reference_types: bool = False, by_digest: bool = False
 ) -> DataFrame:
     """The profiles of all tables of a dataset, one below the other."""
     if not dataset:
         raise ValueError("there is no table to profile")
-    profiles = [profile_table(df, n, reference_types) for n, df in dataset.items()]
+    profiles = [profile_table(df, n, reference_types, by_digest) for n, df in dataset.items()]
     return reduce(DataFrame.unionByName, profiles)
 
 
@@ -84,10 +94,31 @@ def _counts_negatives(dtype: T.DataType, reference_types: bool) -> bool:
     return isinstance(dtype, T.NumericType)
 
 
-def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier row, as one row."""
-    repeats = F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0))
-    return _counted_rows(df).agg(repeats.alias("duplicate_count"))
+def duplicate_count(df: DataFrame, by_digest: bool = False) -> DataFrame:
+    """Rows that repeat an earlier row, as one row.
+
+    With ``by_digest`` rows are first counted by a digest of 128 bits, so what is
+    shuffled does not grow with the width of a row. Only rows whose digest occurs more
+    than once are read again and compared by value, so equal digests of different rows
+    change nothing. That pays for wide rows; the digests are written when this is called.
+    """
+    if not by_digest:
+        repeats = F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0))
+        return _counted_rows(df).agg(repeats.alias("duplicate_count"))
+    digested = _digested(df)
+    counted = saved(digested.groupBy("_d1", "_d2").agg(F.count("*").alias("_n")), "digests")
+    repeated = counted.where("_n > 1").select("_d1", "_d2")
+    known = digested.join(repeated, ["_d1", "_d2"], "left_semi").drop("_d1", "_d2")
+    return duplicate_count(known)
+
+
+def _digested(df: DataFrame) -> DataFrame:
+    """Add two hashes over all columns and over which of them are null."""
+    columns = [named(c) for c in df.columns]
+    nulls = [c.isNull() for c in columns]
+    return df.withColumns(
+        {f"_d{i}": F.xxhash64(F.lit(i), *columns, *nulls) for i in (1, 2)}
+    )
 
 
 def profile_changes(before: DataFrame, after: DataFrame) -> DataFrame:

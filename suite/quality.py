@@ -145,6 +145,24 @@ def q05(spark, d):
     return run_cleaning(customers, CLEANING).summary
 
 
+DOCUMENT_TYPES = {"text": "string", "lang": "string", "source": "string", "n_chars": "bigint"}
+
+
+@query("q01b_profile_wide_rows", profile_sql("documents", "documents", DOCUMENT_TYPES))
+def q01b(spark, d):
+    documents = table(spark, d, "documents").select(*DOCUMENT_TYPES)
+    return op.profile_table(documents, "documents", by_digest=True)
+
+
+@query(
+    "q03b_duplicate_count_wide_rows",
+    """SELECT (SELECT count(*) FROM documents) - (SELECT count(*) FROM
+        (SELECT DISTINCT text, lang FROM documents)) AS duplicate_count""",
+)
+def q03b(spark, d):
+    return op.duplicate_count(table(spark, d, "documents").select("text", "lang"), by_digest=True)
+
+
 @query(
     "k09_upsert_by_key",
     """WITH source AS (SELECT order_id, min(total) AS total FROM (SELECT

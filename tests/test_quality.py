@@ -1,6 +1,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from shopgrain import operators as op
 
@@ -111,3 +112,30 @@ def test_upsert_checks_its_columns(spark):
         op.upsert_by_key(target, target, [])
     with pytest.raises(ValueError, match="missing columns"):
         op.upsert_by_key(target, target.drop("v"), ["k"])
+
+
+def test_profile_and_duplicates_by_digest(spark, table, values):
+    """The same numbers, with nulls, NaN, both zeros and rows that are all null."""
+    more = spark.createDataFrame(
+        [("x", None, 1, float("nan"), None), ("x", None, 1, float("nan"), None)]
+        + [(None, 0, 1, 0.0, None), (None, 0, 1, -0.0, None), (None,) * 5, (None,) * 5],
+        table.schema,
+    )
+    for df in (table, table.unionByName(more).unionByName(table), table.where("false")):
+        plain = op.duplicate_count(df).first()
+        assert op.duplicate_count(df, by_digest=True).first() == plain
+        assert values(op.profile_table(df, "t", by_digest=True)) == values(
+            op.profile_table(df, "t")
+        )
+
+
+@pytest.mark.parametrize("bits", [0, 1, 3])
+def test_equal_digests_of_different_rows_are_told_apart(spark, monkeypatch, bits):
+    def crowded(df):
+        few = F.pmod(F.xxhash64("id", "v"), F.lit(1 << bits))
+        return df.withColumn("_d1", few).withColumn("_d2", F.lit(0))
+
+    monkeypatch.setattr("shopgrain.operators.quality._digested", crowded)
+    df = spark.range(50).selectExpr("id % 40 AS id", "concat('wide', id % 40) AS v")
+    assert op.duplicate_count(df, by_digest=True).first()[0] == 10
+
