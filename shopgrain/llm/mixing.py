@@ -1,7 +1,7 @@
 """Mix sources to target weights.
 
 The words of a source, document after document, are packed into blocks of a fixed
-length. Every output shard draws its source counts from a multinomial over what the
+length, shorter ones where a source is so small that whole blocks would miss its target. Every output shard draws its source counts from a multinomial over what the
 sources still owe; a slot of a source goes to the block that a pseudorandom
 permutation of the source's block indices names, a new permutation for each pass.
 Slots and blocks meet in a join on (source, block), keys that are even however large
@@ -26,6 +26,10 @@ from .arrow import map_rows
 
 #: Words per block, output shards, most passes over a source.
 BLOCK, SHARDS, PASSES = 128, 256, 2
+#: Blocks that a source has at least, down to blocks of one word.
+FINEST = 64
+#: Slots, or copies of a row, that one row stands for before they are listed; slots per task.
+RUN, TASK = 1 << 16, 1 << 20
 #: Sources weigh so, by code point and in turn.
 WEIGHTS = (5, 2, 1)
 #: Words the mix takes, as a multiple of all words.
@@ -40,6 +44,7 @@ class Source(NamedTuple):
     source: str | None
     size: int
     target: float
+    block: int
     blocks: int
     slots: int
 
@@ -72,9 +77,10 @@ def plan_sources(sizes: list[tuple[str | None, int]], block: int) -> list[Source
     shares = targets(counts, weights, SHARE * sum(counts), PASSES)
     out = []
     for (source, size), target in zip(ordered, shares, strict=True):
-        blocks = -(-size // block)
+        own = max(1, min(block, size // FINEST))
+        blocks = -(-size // own)
         slots = min(PASSES * blocks, round(target * blocks / size)) if size else 0
-        out.append(Source(source, size, target, blocks, slots))
+        out.append(Source(source, size, target, own, blocks, slots))
     return out
 
 
@@ -140,7 +146,16 @@ def block_slots(sources: list[Source], spark, shards: int, seed: int) -> DataFra
         for shard, source, first, count in draws([s.slots for s in sources], shards, seed)
     ]
     schema = "shard int, source_no int, first long, count long, blocks long"
-    runs = spark.createDataFrame(rows, schema).repartition(max(1, min(shards, len(rows))))
+    # Runs of bounded length, dealt to as many tasks as there are slots for.
+    parts = sum(-(-count // RUN) for _, _, _, count, _ in rows)
+    tasks = max(shards, sum(s.slots for s in sources) // TASK)
+    runs = (
+        spark.createDataFrame(rows, schema)
+        .withColumn("part", F.explode(F.expr(f"sequence(0L, (count - 1) div {RUN})")))
+        .withColumn("first", F.col("first") + F.col("part") * RUN)
+        .withColumn("count", F.least(F.lit(RUN), F.col("count") - F.col("part") * RUN))
+        .repartition(max(1, min(tasks, parts)))
+    )
     slots = runs.select(
         "shard",
         "source_no",
@@ -186,33 +201,36 @@ def mix_sources(
 
     Null texts have no words and are never taken; null sources are one source, the
     last; repeated rows are documents of their own and a null id is one more id; an
-    empty table gives an empty mix. Words are numbered by a hash of the id, the id and
-    a hash of the text, so reruns agree. The driver holds one row per source and
-    ``shards`` rows per source; all else stays distributed.
+    empty table gives an empty mix. Words are numbered by a hash of the id and the text,
+    the id and the text's hash, so reruns agree; repeats of a row are numbered as one
+    and told apart behind it. The driver holds one row per source and ``shards`` rows per
+    source; all else stays distributed.
     """
     spark = df.sparkSession
-    chunk = F.pmod(F.xxhash64(df[doc_id]), F.lit(CHUNKS)).cast("int")
     sized = df.select(
         df[doc_id].alias("doc_id"),
         df[source].alias("source"),
         F.xxhash64(df[text]).alias("mark"),
         F.coalesce(F.regexp_count(df[text], F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        chunk.alias("chunk"),
     )
-    sized = saved(sized, "sizes")
-    totals = sized.groupBy("source").agg(F.sum("size").alias("size")).collect()
+    same = ["doc_id", "source", "mark", "size"]
+    sized = saved(sized.groupBy(*same).agg(F.count("*").alias("copies")), "sizes")
+    words = F.col("size") * F.col("copies")
+    totals = sized.groupBy("source").agg(F.sum(words).alias("size")).collect()
     sources = plan_sources([(r.source, r["size"]) for r in totals], block)
     named = spark.createDataFrame(
-        [(i, s.source, s.size, s.target) for i, s in enumerate(sources)],
-        "source_no int, source string, source_size long, target double",
+        [(i, s.source, s.size, s.target, s.block) for i, s in enumerate(sources)],
+        "source_no int, source string, source_size long, target double, block_words long",
     ).withColumnRenamed("source", "of")
     numbered = sized.join(
         named, F.col("source").eqNullSafe(F.col("of")), "inner"
-    ).drop("of")
+    ).drop("of").withColumn(
+        "chunk", F.pmod(F.xxhash64("doc_id", "mark"), F.lit(CHUNKS)).cast("int")
+    )
     ahead = Window.partitionBy("source_no").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     parts = (
         numbered.groupBy("source_no", "chunk")
-        .agg(F.sum("size").alias("words"))
+        .agg(F.sum(words).alias("words"))
         .select("source_no", "chunk", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("before"))
     )
     inside = (
@@ -220,13 +238,21 @@ def mix_sources(
         .orderBy("doc_id", "mark", "size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    own = F.coalesce(F.sum("size").over(inside), F.lit(0))
+    own = F.coalesce(F.sum(words).over(inside), F.lit(0))
     placed = numbered.withColumn("own", own).join(parts, ["source_no", "chunk"])
+    placed = placed.withColumn(
+        "run", F.explode(F.expr(f"sequence(0L, (copies - 1) div {RUN})"))
+    )
+    if (sized.agg(F.max("copies")).first()[0] or 0) > RUN:
+        placed = placed.repartition("source_no", "chunk", "run")
+    last = F.least(F.col("copies"), (F.col("run") + 1) * RUN) - 1
+    placed = placed.withColumn("nth", F.explode(F.sequence(F.col("run") * RUN, last)))
     documents = saved(
         placed.select(
             F.monotonically_increasing_id().alias("row"),
             "doc_id", "mark", "source", "source_no", "size", "source_size", "target",
-            (F.col("before") + F.col("own")).alias("start"),
+            "block_words",
+            (F.col("before") + F.col("own") + F.col("nth") * F.col("size")).alias("start"),
         ),
         "documents",
     )
@@ -236,17 +262,18 @@ def mix_sources(
         "source_no",
         "start",
         end.alias("end"),
+        "block_words",
         F.explode(
-            F.sequence(F.expr(f"start div {block}"), F.expr(f"(start + size - 1) div {block}"))
+            F.expr("sequence(start div block_words, (start + size - 1) div block_words)")
         ).alias("block"),
     )
-    first = F.greatest("start", F.col("block") * block)
+    first = F.greatest("start", F.col("block") * F.col("block_words"))
     cut = spread.select(
         "row",
         "source_no",
         "block",
         (first - F.col("start")).alias("first_word"),
-        (F.least("end", (F.col("block") + 1) * block) - first).alias("words"),
+        (F.least("end", (F.col("block") + 1) * F.col("block_words")) - first).alias("words"),
     )
     slots = block_slots(sources, spark, shards, seed)
     # Both sides grow with the data, whatever their estimates say: never broadcast.

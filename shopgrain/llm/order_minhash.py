@@ -24,11 +24,11 @@ from pyspark.sql.window import Window
 K, TUPLE, BINS = 3, 2, 32
 TOKEN = r"\S{1,16}"
 
-#: Bits of a position in a text; later ones share the last.
-PLACE_BITS = 24
+#: Bits of a position in a text: a string of 2^31 characters has no more tokens.
+PLACE_BITS, RANK_BITS = 30, 28
 PLACES = (1 << PLACE_BITS) - 1
-#: A packed k-mer: five bits of bin, 34 of rank, 24 of position.
-BIN_AT, RANK = 58, (1 << 34) - 1
+#: A packed k-mer: five bits of bin, 28 of rank, 30 of position.
+BIN_AT, RANK = PLACE_BITS + RANK_BITS, (1 << RANK_BITS) - 1
 IN_BIN = ((BINS - 1) << BIN_AT) | (RANK << PLACE_BITS)
 #: A signature entry: the bin over 35 bits of tuple hash.
 ENTRY_BITS = 35
@@ -54,8 +54,7 @@ def kmers(tokens: Column) -> Column:
 
     def packed(token: Column, i: Column) -> Column:
         parts = [token, *(F.get(tokens, i + j) for j in range(1, K))]
-        place = F.least(i, F.lit(PLACES)).cast("long")
-        return F.xxhash64(*parts).bitwiseAND(long(~PLACES % (1 << 64))).bitwiseOR(place)
+        return F.xxhash64(*parts).bitwiseAND(long(~PLACES % (1 << 64))).bitwiseOR(i.cast("long"))
 
     whole = F.array(F.xxhash64(tokens).bitwiseAND(long(~PLACES % (1 << 64))))
     n = F.size(tokens)
@@ -107,7 +106,7 @@ def selected(occurrences: Column) -> Column:
 
     def turned(x: Column) -> Column:
         bin_ = x.bitwiseAND(long((BINS - 1) << BIN_AT))
-        place = F.shiftleft(x.bitwiseAND(long(PLACES)), 34)
+        place = F.shiftleft(x.bitwiseAND(long(PLACES)), RANK_BITS)
         rank = F.shiftright(x, PLACE_BITS).bitwiseAND(long(RANK))
         return bin_.bitwiseOR(place).bitwiseOR(rank)
 

@@ -45,11 +45,17 @@ CUES = (
 #: Words that end a street name.
 STREETS = ("Street", "Road", "Avenue", "Lane", "Boulevard", "Drive", "Square")
 
-LOGIN = re.compile(r"[A-Za-z0-9._~%!$&'()*+,;=-]{1,64}(?::[^\s/@]{0,128})?@(?=[A-Za-z0-9\[])")
-ACCOUNT = re.compile(r"(?:\s{0,2}[:#=.]|\s{1,2}is)?\s{0,2}([A-Z]{0,4}[0-9](?:[ -]?[A-Z0-9]){4,33})\b")
+LOGIN = re.compile(r"[A-Za-z0-9._~%!$&'()*+,;=-]+(?::[^\s/@]*)?@(?=[A-Za-z0-9\[])")
+#: Up to four letters, then groups with a digit in each; four letters may stand between.
+ACCOUNT = re.compile(
+    r"(?:\s{0,2}[:#=.]|\s{1,2}is)?\s{0,2}([A-Z]{0,4}[0-9][A-Z0-9]*"
+    r"(?:[ -](?:[A-Z]*[0-9][A-Z0-9]*|[A-Z]{4}(?=[ -][A-Z]*[0-9])))*)(?![A-Za-z0-9])"
+)
 IBAN = re.compile(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{10,30}\Z")
-HOUSE = re.compile(r"(?<![0-9A-Za-z])[0-9]{1,5}(?: [A-Z][A-Za-z]{1,20}){1,3}\Z")
-STREET_LOOK_BACK = 70
+NAME = re.compile(r"[A-Z][A-Za-z]+")
+DIGITS = re.compile(r"[0-9]+\Z")
+#: Words of a street's name before the one that ends it.
+NAMES = 3
 
 
 class Span(NamedTuple):
@@ -135,13 +141,15 @@ def find_spans(text: str) -> list[Span]:
             if m := LOGIN.match(text, last + 1):
                 add("login", last + 1, m.end() - 1)
         elif anchor == "cue":
-            m = ACCOUNT.match(text, last + 1)
-            if m and m.start(1) >= done["account"] and not inside_word(text, at):
+            # What lies inside a word or the span before is not read again.
+            if last + 1 < done["account"] or inside_word(text, at):
+                continue
+            if m := ACCOUNT.match(text, last + 1):
                 add("account", m.start(1), m.end(1), account_holds(m[1]))
         elif not text[last + 1 : last + 2].isalpha():
-            begin = max(at - STREET_LOOK_BACK, done["street"])
-            if m := house_before(text, begin, at):
-                add("street", m, last + 1)
+            begin = house_before(text, done["street"], at)
+            if begin is not None:
+                add("street", begin, last + 1)
     spans.sort(key=lambda s: (s.start, ORDER[s.kind], s.end))
     return spans
 
@@ -155,10 +163,22 @@ def inside_word(text: str, at: int) -> bool:
 
 
 def house_before(text: str, begin: int, end: int) -> int | None:
-    """Where the house number and the name that end at ``end`` begin."""
-    part = text[begin:end]
-    m = HOUSE.search(part)
-    return begin + m.start() if m else None
+    """Where the house number and the name that end at ``end`` start, from ``begin`` on.
+
+    Goes back word by word, as long as words are parts of a name.
+    """
+    for n in range(NAMES + 1):
+        space = text.rfind(" ", begin, end)
+        word = text[space + 1 : end] if space >= 0 else text[begin:end]
+        if n and word.isascii() and word.isdigit():
+            start = end - len(word)
+            return start if not inside_word(text, start) else None
+        if n and (tail := DIGITS.search(word)) and not inside_word(text, end - len(tail[0])):
+            return end - len(tail[0])
+        if space < 0 or not NAME.fullmatch(word):
+            return None
+        end = space
+    return None
 
 
 def written(spans: list[Span]) -> str:

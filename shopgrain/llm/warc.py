@@ -22,8 +22,9 @@ from .arrow import record_batch
 
 #: Payloads below so many bytes are never revisits.
 LEAST_REVISIT = 1000
-#: Captures in one archive file at most; files also end with their partition.
-CAPTURES = 2000
+#: Payload bytes up to which so many captures share an archive file: none of these holds
+#: more than 256 MB or one capture. Files also end with their partition.
+SIZES = ((1 << 17, 2000), (1 << 21, 128), (1 << 25, 8), (None, 1))
 #: Bytes decompressed at once.
 CHUNK = 1 << 20
 DATE = "2024-01-01T00:00:00Z"
@@ -133,16 +134,24 @@ def write_archives(
 ) -> None:
     """Write a capture per row of ``df`` as gzipped WARC files to the new ``folder``.
 
+    Captures of similar size share files, so that files are bounded in bytes.
+
     A null html is an empty payload, a null id is written as none, a null address as
     empty; repeated rows are captures of their own; extra columns are not read.
     """
-    rows = with_revisits(captures(df, page_id, url, html))
-    archive_text(rows, date).write.options(
-        lineSep=END,
-        compression="gzip",
-        maxRecordsPerFile=CAPTURES,
-        **{"zlib.compress.level": "BEST_SPEED"},
-    ).text(folder)
+    given = captures(df, page_id, url, html)
+    size_class = F.lit(len(SIZES) - 1)
+    for i, (most, _) in reversed(list(enumerate(SIZES[:-1]))):
+        size_class = F.when(F.col("payload_bytes") <= most, i).otherwise(size_class)
+    present = given.groupBy(size_class.alias("i")).count().collect()
+    rows = with_revisits(given).withColumn("size_class", size_class)
+    for i in sorted(r["i"] for r in present) or [0]:
+        archive_text(rows.where(F.col("size_class") == i), date).write.options(
+            lineSep=END,
+            compression="gzip",
+            maxRecordsPerFile=SIZES[i][1],
+            **{"zlib.compress.level": "BEST_SPEED"},
+        ).text(f"{folder}/size-{i}")
 
 
 def read_archives(spark: SparkSession, folder: str, content: bool = True) -> DataFrame:

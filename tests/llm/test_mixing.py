@@ -5,8 +5,11 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from shopgrain.llm import mixing
 from shopgrain.llm.mixing import (
+    PASSES,
     draws,
+    mix64,
     mix_sources,
     permuted,
     plan_sources,
@@ -100,6 +103,65 @@ def test_pieces_cover_blocks(spark):
         assert counts.min() == counts.max() == 2 or len(counts) == blocks or counts.max() == 1
 
 
+def plain_mix(rows, block, shards, seed):
+    """Words taken per (id, size): the same mix, slot by slot and word by word."""
+    sizes = [(r, len((r[1] or "").encode().split())) for r in rows]
+    totals = Counter()
+    for r, n in sizes:
+        totals[r[2]] += n
+    sources = plan_sources(list(totals.items()), block)
+    number = {s.source: i for i, s in enumerate(sources)}
+    taken_blocks = {i: Counter() for i in range(len(sources))}
+    for _, source, first, count in draws([s.slots for s in sources], shards, seed):
+        for slot in range(first, first + count):
+            blocks = sources[source].blocks
+            turn = slot // blocks
+            key = (np.uint64(seed) << np.uint64(20)) + np.uint64(source)
+            key = mix64(np.array([key * np.uint64(PASSES + 1) + np.uint64(turn)]))
+            at = permuted(np.array([slot % blocks]), np.array([blocks]), key)
+            taken_blocks[source][int(at[0])] += 1
+    return sources, number, taken_blocks, sizes
+
+
+def test_taken_words_equal_a_plain_mix(spark):
+    """What each document gives, from its place in its source and the blocks drawn."""
+    rows, df = documents(spark)
+    with np.errstate(over="ignore"):
+        sources, number, blocks, _ = plain_mix(rows, 32, 16, 5)
+    mix = mix_sources(df, "doc_id", "text", "source", block=32, shards=16, seed=5)
+    out = {r.row: r for r in mix.documents.collect()}
+    covered = {i: [] for i in range(len(sources))}
+    expected = {}
+    for row, r in out.items():
+        s = number[r.source]
+        covered[s] += range(r.start, r.start + r["size"])
+        at = (word // sources[s].block for word in range(r.start, r.start + r["size"]))
+        expected[row] = sum(blocks[s][b] for b in at)
+    # The documents of a source lie end to end.
+    assert all(sorted(covered[i]) == list(range(s.size)) for i, s in enumerate(sources))
+    got = mix.pieces.groupBy("row").agg({"words": "sum"}).collect()
+    assert {r[0]: r[1] for r in got} == {row: n for row, n in expected.items() if n}
+
+
+def test_small_sources_meet_their_targets(spark):
+    rows = [(i, "w " * 100, f"s{i}") for i in range(3)] + [(9, "one two", "t")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for r in taken_words(mix_sources(df, "doc_id", "text", "source")).collect():
+        assert abs(r.taken - r.target) <= 0.02 * r.target + 1
+
+
+def test_runs_and_copies_are_listed_in_parts(spark, monkeypatch):
+    """Many slots of a shard, and many copies of a row, go through rows of bounded runs."""
+    rows, df = documents(spark)
+    df = df.unionByName(df.where("doc_id = 7").crossJoin(spark.range(500)).drop("id"))
+    whole = taken_words(mix_sources(df, "doc_id", "text", "source", block=32))
+    want = sorted(map(str, whole.collect()))
+    monkeypatch.setattr(mixing, "RUN", 7)
+    monkeypatch.setattr(mixing, "TASK", 50)
+    mix = mix_sources(df, "doc_id", "text", "source", block=32)
+    assert sorted(map(str, taken_words(mix).collect())) == want
+
+
 def test_no_rows(spark):
     _, df = documents(spark)
     assert taken_words(mix_sources(df.limit(0), "doc_id", "text", "source")).count() == 0

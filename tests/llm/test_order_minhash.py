@@ -9,6 +9,9 @@ import xxhash
 from pyspark.sql import functions as F
 
 from shopgrain.llm.order_minhash import (
+    BIN_AT,
+    PLACE_BITS,
+    RANK_BITS,
     BINS,
     K,
     TUPLE,
@@ -39,12 +42,13 @@ def slow(text):
         mers = [tokens]
     seen, bins = {}, {}
     for place, mer in enumerate(mers):
-        h = chained(mer) >> 24
-        h -= (h >> 39) << 40  # an arithmetic shift keeps the sign
+        bits = 64 - PLACE_BITS
+        h = chained(mer) >> PLACE_BITS
+        h -= (h >> (bits - 1)) << bits  # an arithmetic shift keeps the sign
         number = seen[h] = seen.get(h, -1) + 1
         v = chained([packed_long(h & MASK), struct.pack("<i", number)])
-        v = (v >> 24) & ((1 << 39) - 1)
-        bins.setdefault(v >> 34, []).append((v & ((1 << 34) - 1), place))
+        v = (v >> PLACE_BITS) & ((1 << RANK_BITS + 5) - 1)
+        bins.setdefault(v >> RANK_BITS, []).append((v & ((1 << RANK_BITS) - 1), place))
     out = []
     for b in sorted(bins):
         chosen = sorted(bins[b])[:TUPLE]
@@ -59,6 +63,12 @@ def alike(a, b):
     return len(set(a) & set(b)) / len(filled) if filled else 1.0
 
 
+def test_every_position_of_a_text_has_a_place_of_its_own():
+    """A string holds less than 2^31 characters, and a token takes two with its space."""
+    assert 1 << PLACE_BITS >= 2**31 // 2 and PLACE_BITS + RANK_BITS == BIN_AT
+    assert BIN_AT + (BINS - 1).bit_length() <= 63
+
+
 TEXTS = [
     "", None, " \n", "one", "one two", "a b c", "a b c d e f g h", "x " * 300, "ab " * 7 + "cd " * 9,
     "the cat sat on the mat and the cat sat on the hat " * 8, "é　ü" * 40, "y" * 1000,

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -65,6 +66,33 @@ def test_added_kinds():
     assert not find_spans("accounting is fun in any Street")
 
 
+def test_added_kinds_have_no_caps():
+    """Spans beyond any fixed length, found from their anchor to their end."""
+    name, password = "u" * 700, "p%20" * 500
+    number = "7" * 90 + " " + "12 " * 20 + "345"
+    street = "1234567 " + " ".join(["A" + "b" * 300] * 3) + " Street"
+    text = f"at http://{name}:{password}@host/ the account: {number}, or {street}; then on"
+    kinds = {s.kind: text[s.start : s.end] for s in find_spans(text)}
+    assert kinds["login"] == f"{name}:{password}"
+    assert kinds["account"] == number
+    assert kinds["street"] == street
+
+
+def test_accounts_end_with_their_last_group():
+    found = lambda text: [text[s.start : s.end] for s in find_spans(text) if s.kind == "account"]
+    assert found("IBAN GB29 NWBK 6016 1331 9268 19 WAS PAID") == ["GB29 NWBK 6016 1331 9268 19"]
+    assert found("passport: X1234567 AND MORE TEXT") == ["X1234567"]
+    assert found("account 12345abc") == [] and found("account 1 of 2") == []
+
+
+def test_streets_need_a_number_and_up_to_three_names():
+    found = lambda text: [text[s.start : s.end] for s in find_spans(text) if s.kind == "street"]
+    assert found("(12 Old Mill Elm Street)") == ["12 Old Mill Elm Street"]
+    assert found("12 A Very Old Elm Street") == [] and found("12 old Elm Street") == []
+    assert found("No.7 Elm Street, a7 Elm Street") == ["7 Elm Street"]
+    assert found("7 Elm Street 8 Oak Road") == ["7 Elm Street", "8 Oak Road"]
+
+
 def test_redacted_merges_overlaps():
     text = "mail +1 (297) 555-8151 a@b.c or 4111111111111111"
     assert redacted(text, find_spans(text)) == "mail [PHONE] [EMAIL] or [CARD]"
@@ -86,6 +114,17 @@ def test_edge_rows(spark):
     assert texts[1] is None and texts[2] == "" and texts[None] == "[EMAIL]"
 
 
+@pytest.mark.parametrize(
+    "text",
+    ["://a" * 50_000, "account 1a" * 30_000, "ACCOUNT1" * 30_000, "Ab Street " * 30_000]
+    + ["x" * 300_000 + " Street" * 30_000, "A" * 300_000 + " Street 1 " + "Bc" * 100_000],
+)
+def test_added_kinds_take_linear_time(text):
+    start = time.process_time()
+    find_spans(text)
+    assert time.process_time() - start < 5
+
+
 @pytest.mark.parametrize("text", ["1" * 5000, "+1" * 5000, "1.1" * 5000, "@a." * 5000])
 def test_long_runs_take_linear_time(text):
     assert base(text) == plain(text)

@@ -5,6 +5,7 @@ import hashlib
 
 import pytest
 
+from shopgrain.llm import warc
 from shopgrain.llm.warc import (
     capture_digests,
     decompressed,
@@ -119,3 +120,23 @@ def test_query_equals_its_sql(spark):
     names = [d[0] for d in expected.description]
     got = QUERIES["op7_warc"](spark, folder).select(names)
     assert sorted(map(tuple, got.collect())) == sorted(expected.fetchall())
+
+
+def test_files_are_bounded_in_bytes(spark, monkeypatch, tmp_path):
+    """Captures of a size share files, the fewer the larger they are."""
+    monkeypatch.setattr(warc, "SIZES", ((100, 10), (10_000, 3), (None, 1)))
+    sizes = [50] * 25 + [5_000] * 7 + [200_000] * 2 + [100, 10_000]
+    rows = [(i, "u", chr(97 + i % 26) * n + str(i), i) for i, n in enumerate(sizes)]
+    rows += [(900, "u", None, 0)]
+    folder = new_folder(spark)
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    write_archives(df, folder, "page_id", "url", "html")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    held = []
+    for r in files.collect():
+        found = [b for h, b in records(decompressed(memoryview(r.content))) if h["warc-type"] == "response"]
+        held.append((len(found), sum(map(len, found))))
+    assert sum(n for n, _ in held) == len(rows)
+    assert all(n == 1 or size <= max(10 * 250, 3 * 10_250) for n, size in held)
+    found = capture_digests(transactions(read_archives(spark, folder)))
+    assert sorted(map(tuple, found.collect()), key=repr) == expected(rows)
