@@ -30,6 +30,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -437,6 +438,25 @@ def byte_slices(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[pa.R
         at = end
 
 
+def packed_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows with ``data`` compressed, for the shuffle of the texts."""
+    pack = zstandard.ZstdCompressor().compress
+    for batch in batches:
+        yield from recoded(batch, lambda data: pack(data.as_buffer()), 1 << 22)
+
+
+def unpacked_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    for batch in batches:
+        yield from recoded(batch, lambda data: unpack(data.as_buffer()), 1 << 20)
+
+
+def recoded(batch: pa.RecordBatch, code, limit: int) -> Iterator[pa.RecordBatch]:
+    at = batch.schema.get_field_index("data")
+    for part in byte_slices(batch, "data", limit):
+        yield part.set_column(at, "data", pa.array(map(code, part.column(at)), pa.binary()))
+
+
 FLAGGED = pa.schema([("t", pa.int64()), ("at", pa.int64())])
 
 
@@ -874,7 +894,7 @@ def apply_spans(content: bool):
     """Cut the spans out of the texts."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in unpacked_texts(batches):
             for part in slices([batch]):
                 out = []
                 for data, copy, spans_ in zip(
@@ -938,11 +958,17 @@ def remove_repeats(df: DataFrame, doc_id: str, text: str, content: bool = False)
     found = met.mapInArrow(repeated_anchors, "t long, at long")
     per_text = found.groupBy("t").agg(F.collect_set("at").alias("at"))
     known = classes.join(per_text, "t").select("t", "u", "first", "at")
-    # Both joins with the texts read all columns, so that one shuffle serves them.
+    kind = df.schema[doc_id].dataType.simpleString()
+    # Texts shrink further than the shuffle's own codec would bring them, row by row. Both
+    # joins with them read all columns, so that one shuffle serves them; a filter for nulls
+    # on one side, of columns that have none, would be in its way.
+    schema = f"doc_id {kind}, d long not null, data binary not null, t long not null, u long not null"
+    docs = docs.mapInArrow(packed_texts, schema)
     # No id is below the first of its texts; an equality would become a key of the join.
     own = docs.join(known, ["t", "u"]).where("d <= first")
     schema = "h long, context binary, k int, d long, start int, stop int, more binary"
-    contexts = own.select("t", "u", "d", "data", "at", "doc_id").mapInArrow(ask_contexts, schema)
+    given = own.select("t", "u", "d", "data", "at", "doc_id")
+    contexts = given.mapInArrow(lambda batches: ask_contexts(unpacked_texts(batches)), schema)
     keyed = contexts.repartition("h").sortWithinPartitions("h", "start")
     single = keyed.mapInArrow(repeated_spans, schema).repartition("h")
     single = single.sortWithinPartitions("h", "context", "d")
@@ -955,6 +981,5 @@ def remove_repeats(df: DataFrame, doc_id: str, text: str, content: bool = False)
     judged = docs.join(verdicts, ["t", "u"]).select(
         "doc_id", "data", (F.col("first") < F.col("d")).alias("copy"), "spans"
     )
-    kind = df.schema[doc_id].dataType.simpleString()
     schema = f"doc_id {kind}, {KEPT}" + (", kept binary" if content else "")
     return judged.mapInArrow(apply_spans(content), schema).withColumnRenamed("doc_id", doc_id)
