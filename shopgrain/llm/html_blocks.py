@@ -101,6 +101,10 @@ def element(tag: str, attributes: str) -> tuple[str, ...]:
     return tuple(dict.fromkeys(words))
 
 
+#: The next tag of a link, of which there is one search per tag.
+LINK = re.compile(r"<(/?)a[\s/>]", re.I)
+
+
 def behind(page: str, token: str, start: int) -> int:
     found = page.find(token, start)
     return len(page) if found < 0 else found + len(token)
@@ -119,11 +123,13 @@ def blocks(page: str) -> list[Block]:
     parts: list[str] = []
     linked = 0
     beyond = Beyond()
-    in_link = False
+    in_link = open_ended = False
     at = 0
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, in_link
+        # A link that is never closed ends with its block.
+        in_link = in_link and not open_ended
         text = " ".join("".join(parts).split())
         if text:
             out.append(Block(path, text, min(linked, len(text))))
@@ -203,6 +209,8 @@ def blocks(page: str) -> list[Block]:
                     beyond.open(name)
         elif name == "a":
             in_link = not closing
+            end = LINK.search(page, at)
+            open_ended = not end or not end[1]
         elif name in ("br", "img", "input"):
             parts.append(" ")
     add(page[at:])
@@ -567,7 +575,7 @@ def other(rng) -> str:
     if kind < 0.25:
         return named(rng, ADS, ("div", "aside", "section", "div"), small(rng))
     if kind < 0.45:
-        return named(rng, NOTICES, ("div", "section", "aside", "p"), prose(rng, 3, 30))
+        return named(rng, NOTICES, ("div", "section", "aside", "p", "dialog"), prose(rng, 3, 30))
     if kind < 0.7:
         return named(rng, SIDES, ("aside", "div", "section"), "".join(small(rng) for _ in range(rng.randint(1, 3))))
     if kind < 0.85:
@@ -584,7 +592,7 @@ def sample_page(rng: random.Random) -> str:
         return "".join(passage(rng) for _ in range(rng.randint(1, 8)))
     article = some(0.75, lambda: f"<h1>{MARK}{prose(rng, 2, 12)}</h1>")
     for _ in range(rng.choice([1, 2, 3, 4, 6, 9, 14])):
-        article += passage(rng) + some(0.06, lambda: other(rng))
+        article += passage(rng) + some(0.1, lambda: other(rng))
     plain = rng.random() < 0.08
     if not plain:
         article = named(rng, MAINS, ("article", "main", "div", "section", "article", "div"), article)
@@ -600,6 +608,11 @@ def sample_page(rng: random.Random) -> str:
     note = some(0.7, lambda: f"&copy; {prose(rng, 2, 25)}") or prose(rng, 3, 40)
     foot = some(0.8, lambda: named(rng, FEET, ("footer", "div", "footer"), note + some(0.4, lambda: links(rng, 2, 6))))
     body = head + menu + before + article + after + comments + foot
+    if rng.random() < 0.06:  # laid out as a table
+        cells = [menu, before + article + comments, after]
+        kinds = [rng.choice(("", f' class="{rng.choice(names)}"')) for names in (MENUS, MAINS, SIDES)]
+        row = "".join(f"<td{kind}>{cell}</td>" for kind, cell in zip(kinds, cells) if cell)
+        body = f"{head}<table><tr>{row}</tr></table>{foot}"
     for _ in range(rng.randint(0, 2)):
         body = f'<div class="{rng.choice(NEUTRAL)}">{body}</div>'
     return f"<!DOCTYPE html><html><head><title>{prose(rng, 2, 6)}</title></head><body>{body}" + some(0.85, lambda: "</body></html>")
