@@ -97,10 +97,10 @@ def _counts_negatives(dtype: T.DataType, reference_types: bool) -> bool:
 def duplicate_count(df: DataFrame, by_digest: bool = False) -> DataFrame:
     """Rows that repeat an earlier row, as one row.
 
-    With ``by_digest`` rows are first counted by a digest of 128 bits, so what is
-    shuffled does not grow with the width of a row. Only rows whose digest occurs more
-    than once are read again and compared by value, so equal digests of different rows
-    change nothing. That pays for wide rows; the digests are written when this is called.
+    With ``by_digest`` rows are first counted by a digest of 128 bits, whatever their
+    width. Only rows whose digest occurs more than once are compared by value, so equal
+    digests of different rows change nothing; of large tables Spark's runtime filter keeps
+    the others out of that shuffle. The digests are written when this is called.
     """
     if not by_digest:
         repeats = F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0))
