@@ -19,6 +19,7 @@ from .cleaning import (
 from .customers import customer_lifetime_value, premium_customers
 from .enrich import add_age_column, add_state_columns
 from .inventory import inventory_status, inventory_status_shares
+from .modes import exact_modes
 from .quality import (
     duplicate_count,
     profile_changes,

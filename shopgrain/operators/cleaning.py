@@ -32,6 +32,7 @@ from ..functions.columns import (
 )
 from ..functions.contact import accepted_phone, valid_email, written_phone
 from ..functions.dates import parse_date
+from .modes import exact_modes
 from .quantiles import exact_medians
 
 # Names of the imputation methods and of the negative-value rules.
@@ -94,7 +95,9 @@ def impute_nulls(
     """Fill null and the text ``null`` by ``constant``, ``mean``, ``median`` or ``mode``.
 
     A constant that does not fit the column's type (a text on a number) leaves the
-    nulls as they are. Means filled into integer columns are cut, not rounded.
+    nulls as they are. Means filled into integer columns are cut, not rounded. With
+    ``exact`` medians are exact, and modes, which always are, shuffle digests in
+    place of the values: for columns of many or long values.
     """
     if method != "constant" and method not in COMPUTED_FILLS:
         raise ValueError(
@@ -155,6 +158,8 @@ def _fill(
         fills = dict.fromkeys(columns, F.lit(value))
     elif method == "median" and exact:
         fills = {c: F.lit(v) for c, v in exact_medians(df, columns).items()}
+    elif method == "mode" and exact:
+        fills = {c: _literal(df, c, v) for c, v in exact_modes(df, columns).items()}
     elif method == "mode":
         filled = df.withColumn("_fills", _most_frequent(df, columns).scalar())
         fills = {c: F.col("_fills").getField(f"fill_{i}") for i, c in enumerate(columns)}
@@ -180,6 +185,12 @@ def _fill(
     ).drop("_fills")
 
 
+def _literal(df: DataFrame, name: str, value: Any) -> Column:
+    """A value of a column as a literal of the column's type."""
+    schema = T.StructType([T.StructField("fill", type_of(df, name))])
+    return df.sparkSession.createDataFrame([(value,)], schema).select("fill").scalar()
+
+
 def _most_frequent(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """The most frequent value of each column, the smallest on ties, as one struct.
 

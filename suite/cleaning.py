@@ -173,6 +173,28 @@ def c05(spark, d):
     return op.impute_nulls(_raw(spark, d), columns, "mode")
 
 
+DOCUMENT_COLUMNS = ["lang", "source", "n_chars", "text"]
+
+
+def _document_mode_sql(column: str) -> str:
+    return _mode_sql(column).replace("raw_customer", "raw_document")
+
+
+@query(
+    "c05b_impute_nulls_mode_by_digest",
+    "SELECT doc_id, "
+    + ", ".join(
+        f"coalesce({c}, {_document_mode_sql(c)}) AS {c}" for c in DOCUMENT_COLUMNS[:3]
+    )
+    + f", md5(coalesce(text, {_document_mode_sql('text')})) AS text_md5 FROM raw_document",
+)
+def c05b(spark, d):
+    """Few and many, short and long values: frequent ones by sketch, the rest by digest."""
+    raw = view(spark, d, "raw_document")
+    filled = op.impute_nulls(raw, DOCUMENT_COLUMNS, "mode", exact=True)
+    return filled.select("doc_id", *DOCUMENT_COLUMNS[:3], F.md5("text").alias("text_md5"))
+
+
 @query("c07_impute_missing_values_mean", MEAN_SQL)
 def c07(spark, d):
     return op.impute_missing_values(_raw(spark, d))

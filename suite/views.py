@@ -139,6 +139,16 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
             "l_extendedprice AS price",
         ],
     ),
+    "raw_document": (
+        "documents",
+        [
+            "doc_id",
+            "CASE WHEN doc_id % 7 = 3 THEN NULL ELSE lang END AS lang",
+            "CASE WHEN doc_id % 5 = 1 THEN NULL ELSE source END AS source",
+            "CASE WHEN doc_id % 9 = 2 THEN NULL ELSE n_chars END AS n_chars",
+            "CASE WHEN doc_id % 11 = 4 THEN NULL ELSE text END AS text",
+        ],
+    ),
     "raw_review": (
         "events",
         [

@@ -1,11 +1,15 @@
 import math
+from collections import Counter
 from decimal import Decimal
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shopgrain import operators as op
 from shopgrain.operators import cleaning
+from shopgrain.operators.modes import TRACKED, exact_modes
 
 
 def frame(spark, schema, *rows):
@@ -101,6 +105,68 @@ def test_mode_ignores_null_and_takes_the_smallest_tie(spark, values):
     assert values(nothing, "a") == [None, None]
 
 
+@pytest.mark.parametrize("method", ["lazy", "digests"])
+def test_modes_of_many_types(spark, values, method):
+    exact = method == "digests"
+    df = spark.range(3000).selectExpr(
+        "id AS row",
+        "IF(id % 3 = 0, 7, id) AS hot",
+        "IF(id % 2 = 0, NULL, CAST(id % 5 AS STRING)) AS few",
+        "IF(id = 5, NULL, 5000 - id) AS once",
+        "IF(id = 5, NULL, repeat(CAST(9000 - id DIV 2 AS STRING), 300)) AS pairs",
+        "CASE id % 3 WHEN 0 THEN CAST('NaN' AS DOUBLE) WHEN 1 THEN id * 0.5D END AS real",
+        "IF(id = 5, NULL, CAST(id % 7 AS DECIMAL(12,2))) AS money",
+        "IF(id = 5, NULL, TIMESTAMP'2024-01-01' + make_interval(0, 0, 0, id % 900)) AS ts",
+        "IF(id = 5, NULL, named_struct('a', id % 3, 'b', 'x')) AS pair",
+        "CAST(NULL AS INT) AS nothing",
+    )
+    filled = op.impute_nulls(df, df.columns[1:], "mode", exact=exact)
+    assert filled.schema.simpleString() == df.schema.simpleString()
+    fifth = filled.where("row = 5").drop("row")
+    got = fifth.selectExpr("hot", "real", "nothing", "money", "pair.a", "ts = '2024-01-01'").first()
+    assert tuple(got) == (5, 0.5, None, Decimal("0.00"), 0, True)
+    assert values(fifth, "once", "pairs") == [(2001, "7501" * 300)]
+    assert values(filled.where("row = 4"), "few") == ["0"]
+
+
+def test_modes_hidden_by_equal_digests(spark, monkeypatch):
+    """Values that share a digest are told apart by value."""
+    rows = [(i,) for i in range(2000)] * 2 + [(5000,)] * 3 + [(9000,)] * 2 + [(9001,)] * 2
+    df = spark.createDataFrame(rows, "x int")
+    plain = F.xxhash64
+    monkeypatch.setattr(
+        "shopgrain.operators.modes.F.xxhash64",
+        lambda c: F.when(c >= 9000, F.lit(1).cast("long")).otherwise(plain(c)),
+    )
+    assert exact_modes(df, ["x"]) == {"x": 5000}
+
+
+def test_a_sketch_of_frequent_digests_holds_as_many_as_its_error_assumes(spark):
+    for n, kept in ((TRACKED, TRACKED), (TRACKED + 1, 0)):
+        df = spark.range(n).coalesce(1)
+        top = df.agg(F.expr(f"approx_top_k(id, {TRACKED}, {TRACKED})")).first()[0]
+        assert len(top) == kept
+
+
+@settings(
+    max_examples=10,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(st.lists(st.integers(0, 40), max_size=60), st.integers(0, 1500))
+def test_modes_against_counting(spark, numbers, noise):
+    rows = [(n,) for n in numbers] + [(100 + i,) for i in range(noise)] + [(None,)]
+    counts = Counter(r[0] for r in rows if r[0] is not None)
+    best = min(counts, key=lambda v: (-counts[v], v)) if counts else None
+    assert exact_modes(spark.createDataFrame(rows, "x int"), ["x"]) == {"x": best}
+
+
+def test_values_that_occur_once_are_never_counted_by_value(spark, monkeypatch):
+    monkeypatch.setattr("shopgrain.operators.modes._best", None)
+    df = spark.range(20_000).selectExpr("repeat(CAST(20000 - id AS STRING), 50) AS text")
+    assert exact_modes(df, ["text"]) == {"text": "10000" * 50}
+
+
 def test_median_exact_and_approximate(spark, values):
     numbers = spark.range(1001).select(
         F.when(F.col("id") != 1000, F.col("id")).alias("n")
