@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..functions.columns import is_null_or_nan, named, require_columns
+from ..saving import saved
 
 #: Entries of a frequent-items sketch. A full sketch of 1,024 slots lowers its entries by
 #: their exact median, so its counts are off by at most 3.5 / 1,024 of all rows.
@@ -74,9 +75,11 @@ def _best(rows: DataFrame) -> Row:
 
 def _best_by_digest(rows: DataFrame) -> Row:
     counts = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
+    counts = saved(counts, "digests")
     most = counts.agg(F.max("n")).first()[0]
     if most == 1:
         return rows.agg(F.min("value").alias("value")).first()
-    top = counts.where(F.col("n") == most).select("digest")
+    # Written, so that the join knows its size and leaves the values where they are.
+    top = saved(counts.where(F.col("n") == most).select("digest"), "top")
     best = _best(rows.join(top, "digest", "left_semi"))
     return best if best.n == most else _best(rows)
