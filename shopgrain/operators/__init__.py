@@ -1,5 +1,13 @@
 """Table-level operators: DataFrame in, DataFrame out."""
 
+from .calendar import (
+    calendar_rollup,
+    max_orders_of,
+    merge_days,
+    product_sales_by_day,
+    sales_by_day,
+    yearly_revenue_of,
+)
 from .cleaning import (
     calculate_total_null_count,
     clean_phone_numbers,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopgrain import operators as op
 
@@ -292,6 +293,44 @@ def a17(spark, d):
     return op.by_year(a16(spark, d))
 
 
+@query(
+    "a14b_calendar_rollup",
+    f"""WITH sold AS (SELECT order_id, sum({REVENUE}) AS revenue FROM shop_order_item i
+        GROUP BY order_id),
+    dated AS (SELECT o.order_id, s.order_id AS sold_id, s.revenue,
+        CAST(year(order_date) AS INT) AS year, CAST(month(order_date) AS INT) AS month,
+        CAST(day(order_date) AS INT) AS day
+        FROM shop_orders o LEFT JOIN sold s ON o.order_id = s.order_id)
+    SELECT CASE WHEN grouping(day) = 0 THEN 'day' WHEN grouping(month) = 0 THEN 'month'
+        ELSE 'year' END AS grain, year, month, day, count(order_id) AS orders,
+        count(sold_id) AS sold_orders, CAST(sum(revenue) AS DOUBLE) AS revenue
+    FROM dated GROUP BY GROUPING SETS ((year), (year, month), (year, month, day))""",
+)
+def a14b(spark, d):
+    """All periods of the sales reports, from one summary by day."""
+    return op.calendar_rollup(op.sales_by_day(_orders(spark, d), _items(spark, d)))
+
+
+@query(
+    "a20b_product_calendar",
+    """WITH dated AS (SELECT i.product_id, i.quantity,
+        CAST(year(order_date) AS INT) AS year, CAST(month(order_date) AS INT) AS month
+        FROM shop_order_item i JOIN shop_orders o ON i.order_id = o.order_id)
+    SELECT CASE WHEN grouping(month) = 0 THEN 'month' ELSE 'year' END AS grain, product_id,
+        year, month, CAST(NULL AS INT) AS day, CAST(sum(quantity) AS BIGINT) AS quantity
+    FROM dated GROUP BY GROUPING SETS ((product_id, year), (product_id, year, month))""",
+)
+def a20b(spark, d):
+    """Quantities per product by year and month, from the summaries of two sets of orders."""
+    orders = _orders(spark, d)
+    early = F.coalesce(F.year("order_date") < YEAR, F.lit(True))
+    summaries = [
+        op.product_sales_by_day(part, _items(spark, d))
+        for part in (orders.where(early), orders.where(~early))
+    ]
+    return op.calendar_rollup(op.merge_days(*summaries), ["year", "month"])
+
+
 RATING_SQL = """SELECT r.product_id, p.product_name, r.average_rating,
         CASE r.average_rating WHEN 0 THEN 'very poor' WHEN 1 THEN 'poor'
         WHEN 2 THEN 'average' WHEN 3 THEN 'satisfactory' WHEN 4 THEN 'highly-satisfied'

@@ -213,6 +213,60 @@ def test_yearly_revenue(shop, values):
     ]
 
 
+def test_reports_of_a_summary_by_day_equal_those_of_the_orders(shop, spark, values):
+    extra = [(15, 9, date(2023, 5, 5)), (16, 9, date(2023, 5, 6)), (None, 9, date(2020, 1, 1))]
+    orders = shop["orders"].union(spark.createDataFrame(extra, shop["orders"].schema))
+    items = shop["order_items"]
+    days = op.sales_by_day(orders, items)
+    revenue = op.yearly_revenue(orders, items)
+    assert sorted(values(op.yearly_revenue_of(days)), key=str) == sorted(values(revenue), key=str)
+    for grain in ("year", "month", "day"):
+        expected = values(op.max_orders_per_year(orders, grain=grain))
+        assert sorted(values(op.max_orders_of(days, grain)), key=str) == sorted(expected, key=str)
+    with pytest.raises(ValueError, match="grain"):
+        op.max_orders_of(days, "week")
+
+
+def test_summaries_of_disjoint_orders_add_up(shop, values):
+    orders, items = shop["orders"], shop["order_items"]
+    parts = [orders.where("order_id <= 12"), orders.where("order_id > 12")]
+    for summary in (op.sales_by_day, op.product_sales_by_day):
+        merged = op.merge_days(*[summary(part, items) for part in parts])
+        whole = summary(orders, items)
+        assert merged.columns == whole.columns
+        assert sorted(values(merged), key=str) == sorted(values(whole), key=str)
+
+
+def test_calendar_rollup_tells_missing_dates_from_wider_periods(shop, values):
+    days = op.sales_by_day(shop["orders"], shop["order_items"])
+    rolled = op.calendar_rollup(days).drop("revenue", "sold_orders")
+    undated = values(rolled.where("year IS NULL"), "grain", "month", "day", "orders")
+    assert sorted(undated) == [(g, None, None, 1) for g in ("day", "month", "year")]
+    found = values(rolled.where("year = 2023"))
+    assert set(found) == {
+        ("year", 2023, None, None, 3),
+        ("month", 2023, 1, None, 1),
+        ("month", 2023, 5, None, 1),
+        ("month", 2023, 12, None, 1),
+        ("day", 2023, 1, 1, 1),
+        ("day", 2023, 5, 5, 1),
+        ("day", 2023, 12, 31, 1),
+    }
+    assert op.calendar_rollup(days.where("false")).count() == 0
+    assert values(op.calendar_rollup(days, ["month"]).select("grain").distinct()) == ["month"]
+    for wrong in ([], ["week"]):
+        with pytest.raises(ValueError, match="grains"):
+            op.calendar_rollup(days, wrong)
+
+
+def test_rows_are_multiplied_by_grains_only_after_they_are_summed_by_day(shop):
+    days = op.sales_by_day(shop["orders"], shop["order_items"])
+    plan = op.calendar_rollup(days)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Expand") == 1
+    # Plans are written from the result down to the scans.
+    assert "hashpartitioning(_day" in plan[plan.index("Expand") :]
+
+
 def test_max_orders(spark, values):
     days = [date(2023, 1, 1), date(2023, 1, 1), date(2023, 1, 9), date(2023, 2, 1)]
     orders = spark.createDataFrame(
