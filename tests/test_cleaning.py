@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shopgrain import operators as op
 from shopgrain.operators import cleaning
 from shopgrain.operators.modes import TRACKED, exact_modes
+from shopgrain.operators.quantiles import exact_medians
 
 
 def frame(spark, schema, *rows):
@@ -231,6 +232,40 @@ def test_exact_median_narrows_to_the_right_value(spark, sql):
     assert op.exact_median(df, "v") == expected
 
 
+def test_a_median_takes_two_jobs(spark):
+    columns = ["id * 7919 % 100003 AS a", "IF(id % 3 = 0, NULL, id % 10) AS b", "id * 0.5F AS c"]
+    df = spark.range(100_003).selectExpr(*columns)
+    group = "two-jobs"
+    spark.sparkContext.setJobGroup(group, group)
+    found = exact_medians(df, df.columns)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setJobGroup("one-job", "one-job")
+    df.agg(*[F.max(c) for c in df.columns]).first()
+    one = spark.sparkContext.statusTracker().getJobIdsForGroup("one-job")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 2 * len(one)
+    assert found["a"] == 50_001 and found["c"] == 25_000.5
+    assert found["b"] == df.selectExpr("percentile_disc(0.5) WITHIN GROUP (ORDER BY b)").first()[0]
+
+
+@pytest.mark.parametrize("shift", [-0.3, -0.05, 0.05, 0.3])
+def test_a_median_outside_its_first_cuts_is_found_beside_them(spark, monkeypatch, shift):
+    plain = F.percentile_approx
+
+    def shifted(column, at, accuracy):
+        moved = [x + shift for x in at] if len(at) == 2 else at
+        return plain(column, moved, accuracy)
+
+    df = spark.range(20_001).selectExpr("id * 7919 % 20001 AS v")
+    monkeypatch.setattr("shopgrain.operators.quantiles.F.percentile_approx", shifted)
+    assert op.exact_median(df, "v", accuracy=100, sortable=300) == 10_000
+
+
+def test_a_median_needs_an_accuracy(spark):
+    with pytest.raises(ValueError, match="accuracy"):
+        op.exact_median(spark.range(3), "id", accuracy=5)
+
+
 def test_exact_median_without_values(spark):
     assert op.exact_median(spark.sql("SELECT CAST(NULL AS INT) AS v"), "v") is None
 
